@@ -11,20 +11,31 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.partitions import Spec, as_specs, format_spec, partition_predicate
-from ..schema import LAKE_SCHEMA, PARTITION_COLS
+from ..schema import INVENTORY_SCHEMA, LAKE_SCHEMA, PARTITION_COLS
 from ..scratch import stage
-from ..sources.lake import read_partitions, read_ticks_or_empty
+from ..sources.lake import path_is_missing, read_partitions, read_ticks
 
 # Raw data that one write task takes before another task is worth its start-up.
 TASK_BYTES = 128 << 20
 
 _STATS = ("files", "bytes", "rows")
+_FILES_SCHEMA = T.StructType(
+    [
+        *[T.StructField(name, T.IntegerType()) for name in PARTITION_COLS],
+        *INVENTORY_SCHEMA.fields,
+        T.StructField("rows", T.LongType()),
+    ]
+)
+_REPORT_KEYS = "partition string, status string, message string"
+_REPORT_SCHEMA = ", ".join(
+    [_REPORT_KEYS, *[f"{c}_{side} bigint" for side in ("before", "after") for c in _STATS]]
+)
 
 # A job that Spark aborts surfaces as the second kind.
 _SPARK_ERRORS = (PySparkException, Py4JJavaError)
@@ -44,11 +55,22 @@ def partition_files(table: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def partition_stats(table: DataFrame) -> DataFrame:
+def partition_files_at(
+    spark: SparkSession, root: str, selected: Column, schema: T.StructType = LAKE_SCHEMA
+) -> DataFrame:
+    """:func:`partition_files` of the selected part of a root; a missing root has no files."""
+    try:
+        return partition_files(read_ticks(spark, root, schema).where(selected))
+    except AnalysisException as error:
+        if not path_is_missing(error):
+            raise
+        return spark.createDataFrame([], _FILES_SCHEMA)
+
+
+def partition_stats(files: DataFrame) -> DataFrame:
     """Files, bytes and rows per hour directory."""
     return (
-        partition_files(table)
-        .groupBy(*PARTITION_COLS)
+        files.groupBy(*PARTITION_COLS)
         .agg(
             F.count(F.lit(1)).alias("files"),
             F.sum("size").alias("bytes"),
@@ -80,6 +102,8 @@ def compact_partitions(
     if num_files < 1 or max_file_bytes < 1:
         raise ValueError("num_files and max_file_bytes must be positive")
     wanted = as_specs(specs)
+    if not wanted:
+        return spark.createDataFrame([], _REPORT_SCHEMA)
     job = (raw, compacted, num_files, max_file_bytes, schema)
     reports, failed = [], []
     try:
@@ -95,9 +119,9 @@ def compact_partitions(
                     failed.append((spec, single))
     if failed:
         reports.append(_failure_report(spark, failed))
-    report = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), reports
-    ).dropDuplicates(["partition"])
+    report = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reports)
+    # Overlapping specs that were compacted one by one report the same hours.
+    report = report.dropDuplicates(["partition"])
     if raise_on_failure:
         problems = report.where(F.col("status") != "compacted").limit(20).collect()
         if problems:
@@ -117,7 +141,7 @@ def _compact(
     # One listing of raw serves the statistics and the rewrite: files that the stream adds
     # meanwhile belong to neither.
     source = read_partitions(spark, raw, specs, schema)
-    before = stage(partition_stats(source), "compaction-before")
+    before = stage(partition_stats(partition_files(source)), "compaction-before")
 
     n_files = F.greatest(F.lit(num_files), F.ceil(F.col("bytes") / max_file_bytes)).cast("int")
     sized = before.withColumn("_files", n_files)
@@ -135,9 +159,7 @@ def _compact(
             placed = placed.join(sized.select(*PARTITION_COLS, "_files"), list(PARTITION_COLS))
         _write(placed, compacted, tasks, schema)
 
-    after = partition_stats(
-        read_ticks_or_empty(spark, compacted, schema).where(partition_predicate(specs))
-    )
+    after = partition_stats(partition_files_at(spark, compacted, partition_predicate(specs), schema))
     return _report(before, after).unionByName(
         _missing_report(spark, before, specs), allowMissingColumns=True
     )
@@ -187,15 +209,15 @@ def _report(before: DataFrame, after: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("message"),
         *[
             F.coalesce(f"{c}_{side}", F.lit(0)).alias(f"{c}_{side}")
-            for c in _STATS
             for side in ("before", "after")
+            for c in _STATS
         ],
     )
 
 
 def _missing_report(spark: SparkSession, before: DataFrame, specs: list[Spec]) -> DataFrame:
     """The specs that selected no rows; one anti join per set of partition columns used."""
-    found = spark.createDataFrame([], "partition string, status string, message string")
+    found = spark.createDataFrame([], _REPORT_KEYS)
     by_columns: dict[tuple[str, ...], list[Spec]] = {}
     for spec in specs:
         by_columns.setdefault(tuple(sorted(spec)), []).append(spec)
@@ -217,4 +239,4 @@ def _failure_report(spark: SparkSession, failed: list[tuple[Spec, Exception]]) -
         (format_spec(spec).replace(",", "/"), "failed", str(error).strip().splitlines()[0])
         for spec, error in failed
     ]
-    return spark.createDataFrame(rows, "partition string, status string, message string")
+    return spark.createDataFrame(rows, _REPORT_KEYS)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.partitions import as_specs, hour_key, partition_predicate
-from ..operators.compaction import compact_partitions, partition_files
+from ..operators.compaction import compact_partitions, partition_files_at
 from ..operators.inventory import assert_compaction, require_compaction
 from ..operators.sinks import save_inventory
 from ..schema import LAKE_SCHEMA
@@ -64,7 +64,7 @@ def compact_and_verify(
 def _snapshot(
     spark: SparkSession, root: str, selected: Column, path: str, schema: T.StructType
 ) -> DataFrame:
-    files = partition_files(read_ticks_or_empty(spark, root, schema).where(selected))
+    files = partition_files_at(spark, root, selected, schema)
     save_inventory(files.select("key", "size", "last_modified"), path, root)
     return read_inventory(spark, path)
 
