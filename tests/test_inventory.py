@@ -26,14 +26,14 @@ def files(spark):
 def test_listing_takes_parquet_in_any_case_and_nothing_else(spark, base, tmp_path):
     for name, size in [
         ("year=2025/a.parquet", 3), ("year=2025/b.PARQUET", 5), ("c.parquet", 0),
-        ("_spark_metadata/0", 9), ("notes.txt", 4), ("d.parquet.crc", 1),
+        ("_temporary/e.parquet", 9), ("notes.txt", 4), ("d.parquet.crc", 1),
     ]:
         file = tmp_path / name
         file.parent.mkdir(exist_ok=True)
         file.write_bytes(b"x" * size)
     listed = {r.key.rsplit("/", 1)[1]: r.size for r in file_inventory(spark, base).collect()}
-    assert listed == {"a.parquet": 3, "b.PARQUET": 5, "c.parquet": 0}
-    assert file_inventory(spark, base, min_size=1).count() == 2
+    assert listed == {"a.parquet": 3, "b.PARQUET": 5}
+    assert file_inventory(spark, base, min_size=4).count() == 1
     assert file_inventory(spark, f"{base}/none").count() == 0
 
 

@@ -18,7 +18,8 @@ def file_inventory(spark: SparkSession, base: str, min_size: int = 0) -> DataFra
     """Every Parquet file below ``base`` with its size and modification time.
 
     The suffix is applied while listing and the file bodies are never opened. Names that start
-    with ``_`` or ``.`` are invisible, as everywhere in Spark. A missing root lists no files.
+    with ``_`` or ``.`` and files of zero bytes are invisible, as everywhere in Spark; below a root that a stream writes,
+    only files that its log has committed are listed. A missing root lists no files.
     """
     reader = (
         spark.read.format("binaryFile")
