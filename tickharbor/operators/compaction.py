@@ -8,6 +8,7 @@ again gives the same table, and late rows are picked up by compacting their hour
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -25,6 +26,7 @@ from ..sources.lake import path_is_missing, read_partitions, read_ticks
 TASK_BYTES = 128 << 20
 
 _STATS = ("files", "bytes", "rows")
+
 _FILES_SCHEMA = T.StructType(
     [
         *[T.StructField(name, T.IntegerType()) for name in PARTITION_COLS],
@@ -32,9 +34,9 @@ _FILES_SCHEMA = T.StructType(
         T.StructField("rows", T.LongType()),
     ]
 )
-_REPORT_KEYS = "partition string, status string, message string"
+_COUNTS = [f"{count}_{side}" for side in ("before", "after") for count in _STATS]
 _REPORT_SCHEMA = ", ".join(
-    [_REPORT_KEYS, *[f"{c}_{side} bigint" for side in ("before", "after") for c in _STATS]]
+    ["partition string, status string, message string", *[f"{name} bigint" for name in _COUNTS]]
 )
 
 # A job that Spark aborts surfaces as the second kind.
@@ -45,6 +47,15 @@ class CompactionError(RuntimeError):
     """At least one selected partition was not compacted."""
 
 
+@dataclass(frozen=True)
+class Compaction:
+    """A finished run: its report, and the selected files of both roots around it."""
+
+    report: DataFrame
+    before: DataFrame
+    after: DataFrame
+
+
 def partition_files(table: DataFrame) -> DataFrame:
     """Path, size, age and row count of every file of a lake table, read from footers only."""
     return table.groupBy(
@@ -96,32 +107,10 @@ def compact_partitions(
     that fails are the specs tried one by one, so a damaged partition does not hold up the others.
 
     Returns one row per compacted hour plus one per spec that selected nothing or failed:
-    ``partition, status, message, rows/files/bytes before and after``. ``status`` is
+    ``partition, status, message, files/bytes/rows before and after``. ``status`` is
     ``compacted``, ``row_mismatch``, ``missing`` or ``failed``.
     """
-    if num_files < 1 or max_file_bytes < 1:
-        raise ValueError("num_files and max_file_bytes must be positive")
-    wanted = as_specs(specs)
-    if not wanted:
-        return spark.createDataFrame([], _REPORT_SCHEMA)
-    job = (raw, compacted, num_files, max_file_bytes, schema)
-    reports, failed = [], []
-    try:
-        reports.append(_compact(spark, *job, wanted))
-    except _SPARK_ERRORS as error:
-        if len(wanted) < 2:
-            failed += [(spec, error) for spec in wanted]
-        else:
-            for spec in wanted:
-                try:
-                    reports.append(_compact(spark, *job, [spec]))
-                except _SPARK_ERRORS as single:
-                    failed.append((spec, single))
-    if failed:
-        reports.append(_failure_report(spark, failed))
-    report = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reports)
-    # Overlapping specs that were compacted one by one report the same hours.
-    report = report.dropDuplicates(["partition"])
+    report = run_compaction(spark, raw, compacted, specs, num_files, max_file_bytes, schema).report
     if raise_on_failure:
         problems = report.where(F.col("status") != "compacted").limit(20).collect()
         if problems:
@@ -129,6 +118,52 @@ def compact_partitions(
     return report
 
 
+def run_compaction(
+    spark: SparkSession,
+    raw: str,
+    compacted: str,
+    specs: str | Mapping[str, int] | Iterable[Mapping[str, int]],
+    num_files: int = 1,
+    max_file_bytes: int = 1 << 30,
+    schema: T.StructType = LAKE_SCHEMA,
+) -> Compaction:
+    """:func:`compact_partitions`, with the file lists the report is made from."""
+    if num_files < 1 or max_file_bytes < 1:
+        raise ValueError("num_files and max_file_bytes must be positive")
+
+    def attempt(chosen: list[Spec]) -> Compaction:
+        return _compact(spark, raw, compacted, num_files, max_file_bytes, schema, chosen)
+
+    wanted, done, failed = as_specs(specs), [], []
+    try:
+        if wanted:
+            done.append(attempt(wanted))
+    except _SPARK_ERRORS as error:
+        for spec in wanted:
+            try:
+                if len(wanted) == 1:
+                    raise error
+                done.append(attempt([spec]))
+            except _SPARK_ERRORS as single:
+                failed.append((spec, single))
+
+    nothing = Compaction(
+        _failure_report(spark, failed),
+        spark.createDataFrame([], _FILES_SCHEMA),
+        spark.createDataFrame([], _FILES_SCHEMA),
+    )
+    # Overlapping specs that were compacted one by one list the same hours and files.
+    return Compaction(
+        _together([d.report for d in [nothing, *done]]).dropDuplicates(["partition"]),
+        _together([d.before for d in [nothing, *done]]).dropDuplicates(["key"]),
+        _together([d.after for d in [nothing, *done]]).dropDuplicates(["key"]),
+    )
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _compact(
     spark: SparkSession,
     raw: str,
@@ -137,14 +172,14 @@ def _compact(
     max_file_bytes: int,
     schema: T.StructType,
     specs: list[Spec],
-) -> DataFrame:
-    # One listing of raw serves the statistics and the rewrite: files that the stream adds
-    # meanwhile belong to neither.
+) -> Compaction:
+    # One listing of raw serves the file list and the rewrite: files that the stream adds
+    # meanwhile belong to neither. Both lists are staged, since a later run may replace the files.
     source = read_partitions(spark, raw, specs, schema)
-    before = stage(partition_stats(partition_files(source)), "compaction-before")
+    before = stage(partition_files(source), "compaction-before")
 
     n_files = F.greatest(F.lit(num_files), F.ceil(F.col("bytes") / max_file_bytes)).cast("int")
-    sized = before.withColumn("_files", n_files)
+    sized = partition_stats(before).withColumn("_files", n_files)
     total = sized.agg(
         F.sum("_files").alias("files"), F.max("_files").alias("most"), F.sum("bytes").alias("bytes")
     ).first()
@@ -156,13 +191,16 @@ def _compact(
         if total.most == num_files:
             placed = placed.withColumn("_files", F.lit(num_files))
         else:
-            placed = placed.join(sized.select(*PARTITION_COLS, "_files"), list(PARTITION_COLS))
+            hot = stage(sized.select(*PARTITION_COLS, "_files"), "compaction-sizes")
+            placed = placed.join(hot, list(PARTITION_COLS))
         _write(placed, compacted, tasks, schema)
 
-    after = partition_stats(partition_files_at(spark, compacted, partition_predicate(specs), schema))
-    return _report(before, after).unionByName(
-        _missing_report(spark, before, specs), allowMissingColumns=True
+    after = stage(
+        partition_files_at(spark, compacted, partition_predicate(specs), schema), "compaction-after"
     )
+    hours = partition_stats(before)
+    report = _report(hours, partition_stats(after)).unionByName(_missing_report(spark, hours, specs))
+    return Compaction(report, before, after)
 
 
 def _write(placed: DataFrame, compacted: str, tasks: int, schema: T.StructType) -> None:
@@ -206,18 +244,14 @@ def _report(before: DataFrame, after: DataFrame) -> DataFrame:
     return joined.select(
         _partition_label().alias("partition"),
         F.when(whole, "compacted").otherwise("row_mismatch").alias("status"),
-        F.lit(None).cast("string").alias("message"),
-        *[
-            F.coalesce(f"{c}_{side}", F.lit(0)).alias(f"{c}_{side}")
-            for side in ("before", "after")
-            for c in _STATS
-        ],
+        *_no_values("message"),
+        *[F.coalesce(name, F.lit(0)).alias(name) for name in _COUNTS],
     )
 
 
 def _missing_report(spark: SparkSession, before: DataFrame, specs: list[Spec]) -> DataFrame:
     """The specs that selected no rows; one anti join per set of partition columns used."""
-    found = spark.createDataFrame([], _REPORT_KEYS)
+    found = spark.createDataFrame([], _REPORT_SCHEMA)
     by_columns: dict[tuple[str, ...], list[Spec]] = {}
     for spec in specs:
         by_columns.setdefault(tuple(sorted(spec)), []).append(spec)
@@ -228,7 +262,7 @@ def _missing_report(spark: SparkSession, before: DataFrame, specs: list[Spec]) -
         )
         found = found.unionByName(
             asked.join(before, list(columns), "left_anti").select(
-                "partition", F.lit("missing").alias("status"), F.lit(None).cast("string").alias("message")
+                "partition", F.lit("missing").alias("status"), *_no_values("message", *_COUNTS)
             )
         )
     return found
@@ -239,4 +273,12 @@ def _failure_report(spark: SparkSession, failed: list[tuple[Spec, Exception]]) -
         (format_spec(spec).replace(",", "/"), "failed", str(error).strip().splitlines()[0])
         for spec, error in failed
     ]
-    return spark.createDataFrame(rows, _REPORT_KEYS)
+    return spark.createDataFrame(rows, "partition string, status string, message string").select(
+        "*", *_no_values(*_COUNTS)
+    )
+
+
+def _no_values(*names: str) -> list[Column]:
+    return [
+        F.lit(None).cast("string" if name == "message" else "bigint").alias(name) for name in names
+    ]

@@ -8,8 +8,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def save_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), mode: str = "overwrite") -> None:
+def gather_partitions(df: DataFrame, partition_cols: Sequence[str], spread: int) -> DataFrame:
+    """Bring the rows of a partition into at most ``spread`` tasks before a partitioned write.
+
+    Without this every task opens a file in every directory it has rows for. The rows of one
+    partition are divided by the task they come from, so a partition with a third of all rows
+    still goes to ``spread`` tasks, and a task that is run again divides its rows as before.
+    """
+    share = F.pmod(F.spark_partition_id(), F.lit(spread))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *partition_cols, share)
+
+
+def save_table(
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str] = (),
+    mode: str = "overwrite",
+    spread: int | None = None,
+) -> None:
     """Write a Parquet table, replacing what is there. Never write to a path that ``df`` reads."""
+    if spread is not None:
+        df = gather_partitions(df, partition_cols, spread)
     df.write.mode(mode).partitionBy(*partition_cols).parquet(path)
 
 

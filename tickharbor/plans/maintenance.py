@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.partitions import as_specs, hour_key, partition_predicate
-from ..operators.compaction import compact_partitions, partition_files_at
+from ..functions.partitions import hour_key
+from ..operators.compaction import run_compaction
 from ..operators.inventory import assert_compaction, require_compaction
 from ..operators.sinks import save_inventory
 from ..schema import LAKE_SCHEMA
@@ -42,29 +42,24 @@ def compact_and_verify(
     schema: T.StructType = LAKE_SCHEMA,
     raise_on_failure: bool = True,
 ) -> VerifiedCompaction:
-    """Snapshot the selected raw hours, compact them, snapshot the result and check it.
+    """Compact the selected hours, keep file snapshots from before and after, and check them.
 
-    Both snapshots cover the selected hours only, so files that the stream adds elsewhere do not
-    disturb the comparison, and they are kept below ``snapshots``. Row counts must agree in
-    every case; the file-count target is that of ``assert_compaction``.
+    The snapshots, kept below ``snapshots``, cover the files that were compacted and the files
+    they became, so what the stream adds meanwhile does not disturb the comparison. Row counts
+    must agree in every case; the file-count target is that of ``assert_compaction``.
     """
-    selected = partition_predicate(as_specs(specs))
-    before = _snapshot(spark, raw, selected, f"{snapshots}/before", schema)
-    report = stage(
-        compact_partitions(spark, raw, compacted, specs, num_files, schema=schema), "compaction-report"
-    )
-    after = _snapshot(spark, compacted, selected, f"{snapshots}/after", schema)
+    run = run_compaction(spark, raw, compacted, specs, num_files, schema=schema)
+    before = _snapshot(spark, run.before, raw, f"{snapshots}/before")
+    after = _snapshot(spark, run.after, compacted, f"{snapshots}/after")
     failures = assert_compaction(before, after, min_pct, per_partition, strict)
     if raise_on_failure:
-        require_compaction(report.where(F.col("status") != "compacted").select("partition", "status", "message"))
+        unfinished = run.report.where(F.col("status") != "compacted")
+        require_compaction(unfinished.select("partition", "status", "message"))
         require_compaction(failures)
-    return VerifiedCompaction(report, before, after, failures)
+    return VerifiedCompaction(run.report, before, after, failures)
 
 
-def _snapshot(
-    spark: SparkSession, root: str, selected: Column, path: str, schema: T.StructType
-) -> DataFrame:
-    files = partition_files_at(spark, root, selected, schema)
+def _snapshot(spark: SparkSession, files: DataFrame, root: str, path: str) -> DataFrame:
     save_inventory(files.select("key", "size", "last_modified"), path, root)
     return read_inventory(spark, path)
 

@@ -51,6 +51,7 @@ QUERIES: dict[str, Query] = {}
 TICKER = "purchase"
 SINCE = dt.datetime(2024, 1, 20, 12, 30)
 AS_OF = dt.datetime(2024, 1, 31)
+SPREAD = 32
 FIRST_DAYS = [{"year": 2024, "month": 1, "day": day} for day in range(1, 16)]
 
 
@@ -167,8 +168,7 @@ _lakes: dict[tuple[str, str], str] = {}
 def raw_lake(spark: SparkSession, sf_dir: str) -> str:
     """An hour-partitioned lake of all ticks, written once per application in three appends.
 
-    Signups, then the rest, then the newest hour. As in the stream, nothing is shuffled: every
-    scan task leaves one file in each hour it touches.
+    Signups, then the rest, then the newest hour.
     """
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _lakes:
@@ -177,7 +177,7 @@ def raw_lake(spark: SparkSession, sf_dir: str) -> str:
         newest = ticks.agg(F.max(hour_key()).alias("hour")).first().hour
         older, signup = hour_key() < newest, F.col("ticker") == "signup"
         for part in (older & signup, older & ~signup, hour_key() == newest):
-            ops.save_table(ticks.where(part), path, PARTITION_COLS, mode="append")
+            ops.save_table(ticks.where(part), path, PARTITION_COLS, mode="append", spread=SPREAD)
         _lakes[at] = path
     return _lakes[at]
 
@@ -556,7 +556,7 @@ def tick_stream_roundtrip(spark, sf_dir):
         *streaming.ingest_ticks(
             events_as_messages(event_stream(spark, sf_dir)),
             f"{root}/raw", f"{root}/quarantine", f"{root}/checkpoints",
-            available_now=True,
+            available_now=True, spread=SPREAD,
         )
     )
     return read_ticks(spark, f"{root}/raw", LAKE_SCHEMA)
@@ -570,7 +570,7 @@ def quarantine_stream(spark, sf_dir):
         *streaming.ingest_ticks(
             drifting_messages(event_stream(spark, sf_dir)),
             f"{root}/raw", f"{root}/quarantine", f"{root}/checkpoints",
-            available_now=True,
+            available_now=True, spread=SPREAD,
         )
     )
     good = read_ticks(spark, f"{root}/raw", LAKE_SCHEMA).select(F.lit("good").alias("outcome"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.parsing import split_bad_ticks, with_time_partitions
+from ..operators.sinks import gather_partitions
 from ..schema import PARTITION_COLS
 
 # Fixed value: the cadence at which new files appear in the raw root.
@@ -22,6 +23,7 @@ def write_tick_stream(
     trigger: str | None = TRIGGER,
     available_now: bool = False,
     query_name: str | None = None,
+    spread: int | None = None,
 ) -> StreamingQuery:
     """Append a stream to a Parquet table and return the running query.
 
@@ -30,9 +32,13 @@ def write_tick_stream(
     commits each batch once in its log: after a restart from the same checkpoint nothing is
     missing and nothing is there twice. One root takes one writer.
 
-    There is no shuffle before the write: hours are hot by nature (all live data is in the
-    current one), and the small files this leaves are what compaction is for.
+    Live data needs no shuffle before the write: it is all in the current hour, and the small
+    files are what compaction is for. A backfill has many hours in each batch, and every task
+    would open a file in all of them: there, ``spread`` first brings the rows of an hour into at
+    most that many tasks.
     """
+    if spread is not None and partition_cols:
+        stream = gather_partitions(stream, partition_cols, spread)
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -58,6 +64,7 @@ def ingest_ticks(
     value_col: str = "value",
     trigger: str | None = TRIGGER,
     available_now: bool = False,
+    spread: int | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Run the whole ingest: good ticks to ``raw`` by hour, bad messages to ``quarantine``.
 
@@ -66,6 +73,8 @@ def ingest_ticks(
     good, bad = split_bad_ticks(messages, value_col)
     timing = {"trigger": trigger, "available_now": available_now}
     return (
-        write_tick_stream(with_time_partitions(good), raw, f"{checkpoints}/raw", **timing),
+        write_tick_stream(
+            with_time_partitions(good), raw, f"{checkpoints}/raw", spread=spread, **timing
+        ),
         write_tick_stream(bad, quarantine, f"{checkpoints}/quarantine", partition_cols=(), **timing),
     )
