@@ -52,7 +52,9 @@ def split_bad_ticks(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame
     text = F.col(value_col).cast("string")
     checked_schema = T.StructType([*TICK_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
     tick = F.from_json(text, checked_schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    parsed = raw.select(text.alias("message"), tick.alias("tick"))
+    # The one-element explode keeps the optimizer from copying the JSON parser into every use
+    # of a field: each message is parsed once.
+    parsed = raw.select(text.alias("message"), F.explode(F.array(tick)).alias("tick"))
 
     ts = event_time(F.col("tick.timestamp"), T.DoubleType())
     reason = (

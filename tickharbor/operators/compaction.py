@@ -147,21 +147,19 @@ def run_compaction(
             except _SPARK_ERRORS as single:
                 failed.append((spec, single))
 
-    nothing = Compaction(
-        _failure_report(spark, failed),
-        spark.createDataFrame([], _FILES_SCHEMA),
-        spark.createDataFrame([], _FILES_SCHEMA),
-    )
+    if len(done) == 1 and not failed:
+        return done[0]
+    no_files = spark.createDataFrame([], _FILES_SCHEMA)
     # Overlapping specs that were compacted one by one list the same hours and files.
     return Compaction(
-        _together([d.report for d in [nothing, *done]]).dropDuplicates(["partition"]),
-        _together([d.before for d in [nothing, *done]]).dropDuplicates(["key"]),
-        _together([d.after for d in [nothing, *done]]).dropDuplicates(["key"]),
+        _together([_failure_report(spark, failed), *[d.report for d in done]], "partition"),
+        _together([no_files, *[d.before for d in done]], "key"),
+        _together([no_files, *[d.after for d in done]], "key"),
     )
 
 
-def _together(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def _together(parts: list[DataFrame], key: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts).dropDuplicates([key])
 
 
 def _compact(

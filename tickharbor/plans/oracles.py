@@ -185,6 +185,8 @@ ORACLES: dict[str, str] = {
     "lake_partitions": f"""WITH {_TICKS}
         SELECT {_COLUMNS} FROM ticks
         WHERE year = 2024 AND month = 1 AND (day = 5 OR (day = 7 AND hour = 9))""",
+    "run_day_ticks": f"""WITH {_TICKS}
+        SELECT {_COLUMNS} FROM ticks WHERE CAST(ts AS DATE) = DATE '2024-01-09'""",
     "lake_since": f"""WITH {_TICKS}
         SELECT {_COLUMNS} FROM ticks WHERE ts >= TIMESTAMP '2024-01-20 12:30:00'""",
     "lake_inventory": f"""WITH {_HOURS}
@@ -209,12 +211,16 @@ ORACLES: dict[str, str] = {
         SELECT label, files_before, files_after,
                round(CAST(files_before - files_after AS DOUBLE) / files_before * 100, 6) AS reduction_pct
         FROM d""",
+    "repeated_compaction": f"""WITH {_TICKS}
+        SELECT {_COLUMNS} FROM ticks WHERE year = 2024 AND month = 1 AND day <= 15""",
     "ticks_view": f"WITH {_TICKS} SELECT {_COLUMNS} FROM ticks",
     "stale_hours": f"""WITH {_HOURS}
         SELECT year, month, day, hour, n_rows AS raw_rows, CAST(0 AS BIGINT) AS compacted_rows
         FROM hours WHERE NOT (year = 2024 AND month = 1 AND day <= 15)""",
     # streams
     "tick_stream_roundtrip": f"WITH {_SENT} SELECT ticker, price, volume, ts, {_PARTS} FROM sent",
+    "restarted_tick_stream": f"""WITH {_SENT}
+        SELECT {_PARTS}, count(*) AS total_records FROM sent GROUP BY 1, 2, 3, 4""",
     "quarantine_stream": f"""WITH {_DRIFT}
         SELECT coalesce(reason, 'good') AS outcome, count(*) AS n_messages FROM drift GROUP BY 1""",
     "unpartitioned_stream": f"WITH {_SENT} SELECT ticker, price, volume, seconds AS timestamp FROM sent",

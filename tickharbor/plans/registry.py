@@ -21,6 +21,7 @@ from .. import streaming
 from ..functions import (
     normalize_event_time,
     parse_ticks,
+    partition_spec_for,
     split_bad_ticks,
     with_time_partitions,
 )
@@ -472,6 +473,13 @@ def lake_partitions(spark, sf_dir):
     return read_partitions(spark, raw_lake(spark, sf_dir), specs, LAKE_SCHEMA)
 
 
+@query
+def run_day_ticks(spark, sf_dir):
+    """The ticks that a run on a given day selects by default."""
+    spec = partition_spec_for(dt.date(2024, 1, 9))
+    return read_partitions(spark, raw_lake(spark, sf_dir), spec, LAKE_SCHEMA)
+
+
 @query
 def lake_since(spark, sf_dir):
     return ticks_since(read_ticks(spark, raw_lake(spark, sf_dir), LAKE_SCHEMA), SINCE)
@@ -507,6 +515,15 @@ def compacted_rows(spark, sf_dir):
     return read_ticks(spark, compacted_lake(spark, sf_dir), LAKE_SCHEMA)
 
 
+@query
+def repeated_compaction(spark, sf_dir):
+    """Compact the first days twice, the second time with overlapping specs: nothing changes."""
+    raw, path = raw_lake(spark, sf_dir), scratch_path(spark, "compacted")
+    for specs in (FIRST_DAYS, FIRST_DAYS[:8] + FIRST_DAYS[4:]):
+        ops.compact_partitions(spark, raw, path, specs, raise_on_failure=True)
+    return read_ticks(spark, path, LAKE_SCHEMA)
+
+
 @query
 def verified_compaction(spark, sf_dir):
     """Per-day file counts of the snapshots around a compaction of the first days."""
@@ -562,6 +579,20 @@ def tick_stream_roundtrip(spark, sf_dir):
     return read_ticks(spark, f"{root}/raw", LAKE_SCHEMA)
 
 
+@query
+def restarted_tick_stream(spark, sf_dir):
+    """The ingest stopped and started again from its checkpoint: every message once."""
+    root = scratch_path(spark, "stream")
+    for _ in range(2):
+        ticks = with_time_partitions(parse_ticks(events_as_messages(event_stream(spark, sf_dir))))
+        finish(
+            streaming.write_tick_stream(
+                ticks, f"{root}/raw", f"{root}/checkpoint", available_now=True, spread=SPREAD
+            )
+        )
+    return ops.ticks_by_partition(read_ticks(spark, f"{root}/raw", LAKE_SCHEMA))
+
+
 @query
 def quarantine_stream(spark, sf_dir):
     """Damaged messages through the same ingest: counts of both sides."""

@@ -13,6 +13,9 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": SESSION_ZONE,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Keeps a 100 TB scan at about half a gigabyte per task, and the listing of millions of small
+    # files from becoming millions of tasks.
+    "spark.sql.files.maxPartitionNum": "200000",
     # Window state for many tickers outgrows the heap-based store.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
