@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 
 from tickharbor.operators import save_table
-from tickharbor.schema import LAKE_SCHEMA
+from tickharbor.schema import LAKE_SCHEMA, PARTITION_COLS
 from tickharbor.scratch import shared_dir, stage
 from tickharbor.sources import (
     read_latest_files,
@@ -16,7 +16,7 @@ from tickharbor.sources import (
     union_ticks,
 )
 
-from .helpers import append, bag, plan, ticks
+from .helpers import append, bag, data_files, plan, ticks
 
 
 @pytest.fixture
@@ -100,3 +100,29 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     staged = stage(spark.range(3), "test")
     assert staged.count() == 3
     assert all(f"{shared_dir(spark)}/tickharbor/test-" in f for f in staged.inputFiles())
+
+
+class Session:
+    """As much of a session as the choice of the shared folder looks at."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": master})()
+
+
+def test_shared_folder_is_the_configured_one_and_never_local_on_a_cluster():
+    assert shared_dir(Session("yarn", "s3a://lake/checkpoints/")) == "s3a://lake/checkpoints"
+    assert shared_dir(Session("local[2]")) == shared_dir(Session("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session("spark://master:7077"))
+
+
+def test_gathered_writes_bound_the_files_of_a_hot_partition(spark, base):
+    rows = [("HOT", float(i), i, "2025-08-09 02:30:00") for i in range(400)]
+    rows += [("A", 1.0, 1, f"2025-08-09 {h:02d}:00:00") for h in range(24)]
+    df = ticks(spark, rows).repartition(40)
+    save_table(df, f"{base}/plain", PARTITION_COLS)
+    save_table(df, f"{base}/spread", PARTITION_COLS, spread=3)
+    assert bag(read_ticks(spark, f"{base}/spread")) == bag(df)
+    plain, spread = data_files(f"{base}/plain"), data_files(f"{base}/spread")
+    assert max(plain.values()) > 30 and 1 < max(spread.values()) <= 3

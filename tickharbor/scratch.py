@@ -13,6 +13,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -20,9 +23,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    local = tempfile.mkdtemp(prefix="tickharbor-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="tickharbor-")
+    return _local_dirs[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
