@@ -73,6 +73,16 @@ def test_view_prunes_compacted_hours_of_raw(spark, roots):
     assert view.count() == 12
 
 
+def test_view_of_some_partitions(spark, roots):
+    raw, compacted = roots
+    compact_partitions(spark, raw, compacted, DAY + ",hour=1")
+    for hour in (1, 2):
+        view = tick_view(spark, raw, compacted, f"{DAY},hour={hour}")
+        assert {r.hour for r in view.collect()} == {hour} and view.count() == 6
+    assert hours_needing_compaction(spark, raw, compacted, DAY + ",hour=1").count() == 0
+    assert hours_needing_compaction(spark, raw, compacted, DAY).count() == 1
+
+
 @pytest.mark.parametrize("num_files", [1, 2, 5])
 def test_every_hour_gets_the_asked_number_of_files(spark, base, num_files):
     raw, compacted = f"{base}/raw", f"{base}/compacted"

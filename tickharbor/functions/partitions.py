@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..schema import PARTITION_COLS
 
 Spec = dict[str, int]
+Specs = str | Mapping[str, int] | Iterable[Mapping[str, int]]
 
 
 def parse_partition_specs(
@@ -43,7 +44,7 @@ def _parse_one(group: str, partition_cols: Sequence[str]) -> Spec:
 
 
 def as_specs(
-    specs: str | Mapping[str, int] | Iterable[Mapping[str, int]] | None,
+    specs: Specs | None,
     partition_cols: Sequence[str] = PARTITION_COLS,
 ) -> list[Spec]:
     """Accept spec text, one mapping or several; values are validated in every case."""

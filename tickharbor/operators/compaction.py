@@ -7,7 +7,6 @@ again gives the same table, and late rows are picked up by compacting their hour
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.partitions import Spec, as_specs, format_spec, partition_predicate
+from ..functions.partitions import Spec, Specs, as_specs, format_spec, partition_predicate
 from ..schema import INVENTORY_SCHEMA, LAKE_SCHEMA, PARTITION_COLS
 from ..scratch import stage
 from ..sources.lake import path_is_missing, read_partitions, read_ticks
@@ -94,7 +93,7 @@ def compact_partitions(
     spark: SparkSession,
     raw: str,
     compacted: str,
-    specs: str | Mapping[str, int] | Iterable[Mapping[str, int]],
+    specs: Specs,
     num_files: int = 1,
     max_file_bytes: int = 1 << 30,
     schema: T.StructType = LAKE_SCHEMA,
@@ -122,7 +121,7 @@ def run_compaction(
     spark: SparkSession,
     raw: str,
     compacted: str,
-    specs: str | Mapping[str, int] | Iterable[Mapping[str, int]],
+    specs: Specs,
     num_files: int = 1,
     max_file_bytes: int = 1 << 30,
     schema: T.StructType = LAKE_SCHEMA,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,22 +26,13 @@ def unique_violations(df: DataFrame, column: str) -> DataFrame:
 def check_ticks(df: DataFrame) -> DataFrame:
     """One row per requirement of the serving layer: ``(check, passed)``.
 
-    Row checks stop at the first row they find.
+    The row checks look at one partition after the other and stop at the first row they find.
     """
-    spark = df.sparkSession
     has_ticker = "ticker" in df.columns
-    has_time = any(name in df.columns for name in EVENT_TIME_CANDIDATES)
-    by_schema = spark.createDataFrame(
-        [("ticker_column", has_ticker), ("event_time_column", has_time)], "check string, passed boolean"
-    )
-
-    def exists(name: str, rows: DataFrame) -> DataFrame:
-        return (
-            rows.select(F.lit(1).alias("one"))
-            .limit(1)
-            .agg((F.count("one") > 0).alias("passed"))
-            .select(F.lit(name).alias("check"), "passed")
-        )
-
-    named = df.where(F.col("ticker").isNotNull()) if has_ticker else df.limit(0)
-    return reduce(DataFrame.unionByName, [by_schema, exists("has_rows", df), exists("has_tickers", named)])
+    checks = {
+        "ticker_column": has_ticker,
+        "event_time_column": any(name in df.columns for name in EVENT_TIME_CANDIDATES),
+        "has_rows": not df.isEmpty(),
+        "has_tickers": has_ticker and not df.where(F.col("ticker").isNotNull()).isEmpty(),
+    }
+    return df.sparkSession.createDataFrame(list(checks.items()), "check string, passed boolean")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.partitions import hour_key
+from ..functions.partitions import Specs, as_specs, hour_key, partition_predicate
 from ..operators.compaction import run_compaction
 from ..operators.inventory import assert_compaction, require_compaction
 from ..operators.sinks import save_inventory
@@ -33,7 +32,7 @@ def compact_and_verify(
     spark: SparkSession,
     raw: str,
     compacted: str,
-    specs: str | Mapping[str, int] | Iterable[Mapping[str, int]],
+    specs: Specs,
     snapshots: str,
     num_files: int = 1,
     min_pct: float = 0.0,
@@ -77,8 +76,22 @@ def _raw_against_compacted(raw: DataFrame, compacted: DataFrame) -> DataFrame:
     )
 
 
+def _both_roots(
+    spark: SparkSession, raw: str, compacted: str, specs: Specs | None, schema: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    tables = read_ticks(spark, raw, schema), read_ticks_or_empty(spark, compacted, schema)
+    if specs is None:
+        return tables
+    selected = partition_predicate(as_specs(specs))
+    return tables[0].where(selected), tables[1].where(selected)
+
+
 def tick_view(
-    spark: SparkSession, raw: str, compacted: str, schema: T.StructType = LAKE_SCHEMA
+    spark: SparkSession,
+    raw: str,
+    compacted: str,
+    specs: Specs | None = None,
+    schema: T.StructType = LAKE_SCHEMA,
 ) -> DataFrame:
     """Compacted hours, plus the raw rows of hours that have no compacted copy.
 
@@ -86,9 +99,10 @@ def tick_view(
     hours behind the last compaction are in it. The semi join on them prunes the other raw
     directories at run time. Rows that arrive in an hour after its compaction appear once
     that hour is compacted again: see :func:`hours_needing_compaction`.
+
+    ``specs`` narrows the view to some partitions, and with it the file footers that are looked at.
     """
-    raw_ticks = read_ticks(spark, raw, schema)
-    compacted_ticks = read_ticks_or_empty(spark, compacted, schema)
+    raw_ticks, compacted_ticks = _both_roots(spark, raw, compacted, specs, schema)
     open_hours = stage(
         _raw_against_compacted(raw_ticks, compacted_ticks).where("compacted_rows = 0"), "open-hours"
     )
@@ -101,13 +115,17 @@ def tick_view(
 
 
 def hours_needing_compaction(
-    spark: SparkSession, raw: str, compacted: str, schema: T.StructType = LAKE_SCHEMA
+    spark: SparkSession,
+    raw: str,
+    compacted: str,
+    specs: Specs | None = None,
+    schema: T.StructType = LAKE_SCHEMA,
 ) -> DataFrame:
-    """Raw hours whose row count differs from that of their compacted copy."""
+    """Raw hours (of ``specs``, or all) whose row count differs from that of their compacted copy."""
     key = F.col("hour_key")
-    stale = _raw_against_compacted(
-        read_ticks(spark, raw, schema), read_ticks_or_empty(spark, compacted, schema)
-    ).where("raw_rows <> compacted_rows AND hour_key >= 0")
+    stale = _raw_against_compacted(*_both_roots(spark, raw, compacted, specs, schema)).where(
+        "raw_rows <> compacted_rows AND hour_key >= 0"
+    )
     return stale.select(
         F.floor(key / 1_000_000).cast("int").alias("year"),
         F.pmod(F.floor(key / 10_000), F.lit(100)).cast("int").alias("month"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.parsing import with_time_partitions
-from ..functions.partitions import as_specs, hour_key, hour_key_of, partition_predicate
+from ..functions.partitions import Specs, as_specs, hour_key, hour_key_of, partition_predicate
 from ..schema import TICK_SCHEMA
 
 
@@ -42,7 +41,7 @@ def read_ticks_or_empty(spark: SparkSession, base: str, schema: T.StructType) ->
 def read_partitions(
     spark: SparkSession,
     base: str,
-    specs: str | Mapping[str, int] | Iterable[Mapping[str, int]],
+    specs: Specs,
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """Scan only the directories that the specs select."""
