@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 import time
 from pathlib import Path
@@ -47,6 +48,14 @@ def test_since_prunes_directories_and_reaches_the_reader(spark, lake):
     assert "GreaterThanOrEqual(ts" in text
 
 
+def test_since_reads_naive_times_in_the_session_zone(spark, lake):
+    df = read_ticks(spark, lake)
+    naive = dt.datetime(2025, 8, 10, 9, 30)
+    east = naive.replace(tzinfo=dt.timezone(dt.timedelta(hours=-1)))
+    assert ticks_since(df, naive).count() == 2
+    assert ticks_since(df, east).count() == 1
+
+
 def test_latest_by_name_orders_hours_as_numbers(spark, lake):
     df = read_latest_files(spark, lake, 2, by="name")
     assert sorted((r.day, r.hour) for r in df.collect()) == [(10, 9), (10, 23)]

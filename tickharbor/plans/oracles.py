@@ -143,6 +143,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'has_rows', count(*) > 0 FROM events
         UNION ALL SELECT 'has_tickers', count(event_type) > 0 FROM events""",
     "model_reference": "SELECT user_id AS id, event_id FROM events WHERE user_id = 1",
+    "model_table": "SELECT o_custkey AS id, o_orderkey FROM orders WHERE o_custkey = 1",
     # inventories
     "inventory_summary": f"""WITH {_FILES}
         SELECT count(*) AS total_files, CAST(sum(size) AS BIGINT) AS total_bytes FROM files""",
@@ -219,6 +220,7 @@ ORACLES: dict[str, str] = {
         FROM hours WHERE NOT (year = 2024 AND month = 1 AND day <= 15)""",
     # streams
     "tick_stream_roundtrip": f"WITH {_SENT} SELECT ticker, price, volume, ts, {_PARTS} FROM sent",
+    "message_file_stream": f"WITH {_SENT} SELECT ticker, price, volume, ts, {_PARTS} FROM sent",
     "restarted_tick_stream": f"""WITH {_SENT}
         SELECT {_PARTS}, count(*) AS total_records FROM sent GROUP BY 1, 2, 3, 4""",
     "quarantine_stream": f"""WITH {_DRIFT}

@@ -38,6 +38,7 @@ from ..sources import (
     read_legacy_ticks,
     read_partitions,
     read_ticks,
+    tick_source,
     ticks_since,
     union_ticks,
 )
@@ -401,6 +402,14 @@ def model_reference(spark, sf_dir):
     return ops.second_model(spark, "event_ids")
 
 
+@query
+def model_table(spark, sf_dir):
+    """The same pair with the first model kept as a table."""
+    ids = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), "o_orderkey")
+    ops.materialize(ids, "order_ids", "table", scratch_path(spark, "model"))
+    return ops.second_model(spark, "order_ids")
+
+
 # ---- inventories ----------------------------------------------------------------------------
 
 
@@ -589,6 +598,23 @@ def tick_stream_roundtrip(spark, sf_dir):
     return read_ticks(spark, f"{root}/raw", LAKE_SCHEMA)
 
 
+@query
+def message_file_stream(spark, sf_dir):
+    """Messages in text files, one per line, through the file source, several files per batch."""
+    root = scratch_path(spark, "stream")
+    messages = events_as_messages(table(spark, sf_dir, "events"))
+    messages.select(F.col("value").cast("string")).write.text(f"{root}/inbox")
+    ticks = with_time_partitions(
+        parse_ticks(tick_source(spark, "files", path=f"{root}/inbox", max_files_per_trigger=100))
+    )
+    finish(
+        streaming.write_tick_stream(
+            ticks, f"{root}/raw", f"{root}/checkpoint", available_now=True, spread=SPREAD
+        )
+    )
+    return read_ticks(spark, f"{root}/raw", LAKE_SCHEMA)
+
+
 @query
 def restarted_tick_stream(spark, sf_dir):
     """The ingest stopped and started again from its checkpoint: every message once."""

@@ -59,11 +59,13 @@ def union_ticks(*tables: DataFrame) -> DataFrame:
 
 
 def ticks_since(ticks: DataFrame, since: dt.datetime | str | Column) -> DataFrame:
-    """Rows with ``ts >= since``.
+    """Rows with ``ts >= since``; text and naive datetimes are read in the session zone.
 
     On a lake table the bound is also stated on the partition columns, so older directories
     are never listed for reading; the rest of the bound reaches the Parquet reader.
     """
+    if isinstance(since, dt.datetime) and since.tzinfo is None:
+        since = since.isoformat(" ")
     bound = since if isinstance(since, Column) else F.lit(since).cast("timestamp")
     condition = F.col("ts") >= bound
     if {"year", "month", "day", "hour"} <= set(ticks.columns):
