@@ -183,7 +183,9 @@ def _compact(
     if total.files is not None:
         useful = max(spark.sparkContext.defaultParallelism, total.bytes // TASK_BYTES)
         tasks = max(total.most, min(total.files, useful))
-        position = F.xxhash64("_metadata.file_path") + F.col("_metadata.row_index")
+        # Only a part of the hash, so that the sum cannot overflow.
+        start = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 32))
+        position = start + F.col("_metadata.row_index")
         placed = source.select("*", position.alias("_position"))
         if total.most == num_files:
             placed = placed.withColumn("_files", F.lit(num_files))
