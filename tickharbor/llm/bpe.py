@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,8 +22,17 @@ from pyspark.sql import DataFrame
 from .text_blocks import column_of
 
 #: The white space of Unicode, and the word pattern of the vocabulary file.
-_SPACE = r"\t-\r \x85\xa0  -     　"
-_WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_WORD = "'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{space}{letter}{number}]+"
+#: Letters, numbers and lower-case pairs of Unicode 16 and 17 that Python's own tables may lack.
+_NEW = {
+    "L": "1c89-1c8a a7cb-a7cd a7da-a7dc 105c0-105f3 10d4a-10d65 10d6f-10d85 10ec2-10ec4 11380-11389 1138b 1138e "
+    "11390-113b5 113b7 113d1 113d3 11bc0-11be0 13460-143fa 16100-1611d 16d40-16d6c 18cff 1e5d0-1e5ed 1e5f0",
+    "N": "10d40-10d49 116d0-116e3 11bf0-11bf9 16130-16139 16d70-16d79 1ccf0-1ccf9 1e5f1-1e5fa",
+}
+_NEW_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5}
+_NEW_LOWER |= {0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+_NEW_LOWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
 _KEPT_WORDS = 400_000
 _BATCH = 512
 
@@ -34,6 +44,20 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in set(visible) else chr(0x100 + hidden.index(b)) for b in range(256)]
 
 
+def category_ranges(kind: str) -> str:
+    """The characters of a general category as the inside of a pattern's brackets."""
+    new = [[int(x, 16) for x in part.split("-")] for part in _NEW[kind].split()]
+    added = {c for part in new for c in range(part[0], part[-1] + 1)}
+    ranges: list[list[int]] = []
+    for code in range(sys.maxunicode + 1):
+        if code in added or unicodedata.category(chr(code))[0] == kind:
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+    return "".join(f"\\U{low:08x}-\\U{high:08x}" for low, high in ranges)
+
+
 class BpeModel:
     """A vocabulary with merge ranks, read from a tokenizer file with byte symbols and word ends."""
 
@@ -49,7 +73,10 @@ class BpeModel:
         self.strings = {i: s for s, i in ids.items()} | {i: s for s, i in self.special.items()}
         longest = sorted(self.special, key=len, reverse=True)
         self._special = regex.compile("|".join(map(regex.escape, longest)) or r"(?!)")
-        self._word = regex.compile(_WORD)
+        # Up to U+0530 the library's tables and the ones here agree, and the short classes are faster.
+        self._rare = regex.compile(r"[^\x00-\u0530]")
+        self._word = regex.compile(_WORD.format(letter=r"\p{L}", number=r"\p{N}", space=_SPACE))
+        self._rare_word: regex.Pattern | None = None
         self._symbols = byte_symbols()
         self._seen: dict[str, tuple[int, str, str]] = {}
 
@@ -92,6 +119,15 @@ class BpeModel:
         self._seen[word] = found = (len(ids), " ".join(map(str, ids)), strings)
         return found
 
+    def _words(self, text: str) -> list[str]:
+        text = self.normalized(text)
+        if not self._rare.search(text):
+            return self._word.findall(text)
+        if self._rare_word is None:
+            letter, number = category_ranges("L"), category_ranges("N")
+            self._rare_word = regex.compile(_WORD.format(letter=letter, number=number, space=_SPACE))
+        return self._rare_word.findall(text.translate(_NEW_LOWER))
+
     @staticmethod
     def normalized(text: str) -> str:
         text = unicodedata.normalize("NFC", text)
@@ -104,7 +140,7 @@ class BpeModel:
         at = 0
         marks = [m.span() for m in self._special.finditer(text)] if "<|" in text else []
         for low, high in [*marks, (len(text), len(text))]:
-            for word in self._word.findall(self.normalized(text[at:low])):
+            for word in self._words(text[at:low]):
                 yield seen.get(word) or known(word)
             if high > low:
                 yield 1, str(self.special[text[low:high]]), text[low:high]

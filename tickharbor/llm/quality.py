@@ -31,9 +31,9 @@ from .text_blocks import (
 )
 
 #: Share of word characters that may lie in repeated windows of so many words.
-NGRAM_LIMITS = {5: 0.30, 6: 0.28, 7: 0.26, 8: 0.25, 9: 0.24, 10: 0.22}
+NGRAM_LIMITS = {5: 0.45, 6: 0.44, 7: 0.42, 8: 0.40, 9: 0.40, 10: 0.40}
 #: Share of word characters that may lie in lines that occur twice or more, and most symbols a word.
-LINE_LIMIT, SYMBOL_LIMIT = 0.35, 0.3
+LINE_LIMIT, SYMBOL_LIMIT = 0.45, 0.3
 
 _SYMBOLS = byte_class(b"#*$%&|<>")
 _NOT_NEWLINE = ~byte_class(b"\n")

@@ -170,9 +170,7 @@ def member(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 def covered(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
     """Which of ``size`` places lie in a span."""
-    depth = np.zeros(size + 1, dtype=np.int64)
-    np.add.at(depth, starts, 1)
-    np.add.at(depth, ends, -1)
+    depth = np.bincount(starts, minlength=size + 1) - np.bincount(ends, minlength=size + 1)
     return np.cumsum(depth[:size]) > 0
 
 
