@@ -244,14 +244,21 @@ def phrase_matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 
 def proximity_matches(
-    index: DataFrame, benchmark: DataFrame, rarest: int = 4, slop: int = 8, at_once: int = ITEMS_AT_ONCE
+    index: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    rarest: int = 4,
+    slop: int = 12,
+    at_once: int = ITEMS_AT_ONCE,
 ) -> DataFrame:
-    """Places where the ``rarest`` rarest terms of an item stand within ``slop`` words: as :func:`phrase_matches`."""
+    """Places where the ``rarest`` rarest terms of a benchmark window stand within ``slop`` words, in any order.
+
+    Rows as of :func:`phrase_matches`; the span is the word of the rarest term.
+    """
 
     def find(segment: Segment, items: Items):
-        for item, terms in enumerate(items.terms):
-            own = [t for t in dict.fromkeys(terms.tolist())]
-            own.sort(key=lambda t: len(segment.lists.get(t, ())))
+        for item, terms in items.windows(window):
+            own = sorted(set(terms.tolist()), key=lambda t: (len(segment.lists.get(t, ())), t))
             at = segment.near(np.array(own[:rarest], np.int64), slop)
             if len(at):
                 yield item, at, 1

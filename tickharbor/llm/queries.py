@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
 from .decontaminate import contamination
+from .language import held_out_languages
 from .line_dedup import MIN_CHARS, MIN_SITES, without_shared_lines
 from .quality import quality_report
+from .toxicity import held_out_scores
 from .warc import archive_and_index
 
 VOCABULARY = "word_bpe_49k.json"
@@ -37,6 +39,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_languages(read(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = without_shared_lines(read(spark, sf_dir, "documents"))
     digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
@@ -51,8 +57,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op4_warc, op6_line_dedup, op7_bpe, op9_quality)
+    f.__name__: f for f in (op1_decontamination, op4_warc, op5_language, op6_line_dedup, op7_bpe, op9_quality, op10_toxicity)
 }
 
 ORACLES: dict[str, str] = {
