@@ -11,6 +11,8 @@ from .bpe import bpe_digests
 from .decontaminate import contamination
 from .language import held_out_languages
 from .line_dedup import MIN_CHARS, MIN_SITES, without_shared_lines
+from .near_dedup import near_duplicates
+from .pii import KINDS, protected_spans
 from .quality import quality_report
 from .toxicity import held_out_scores
 from .warc import archive_and_index
@@ -34,6 +36,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = archive_and_index(spark, read(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -53,6 +59,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = protected_spans(read(spark, sf_dir, "documents"))
+    counts = [f"n_{kind}" for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read(spark, sf_dir, "documents"))
 
@@ -62,7 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op4_warc, op5_language, op6_line_dedup, op7_bpe, op9_quality, op10_toxicity)
+    f.__name__: f for f in (op1_decontamination, op2_near_dedup, op4_warc, op5_language, op6_line_dedup, op7_bpe, op8_pii, op9_quality, op10_toxicity)
 }
 
 ORACLES: dict[str, str] = {
