@@ -15,9 +15,12 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text_blocks import column_of
 
@@ -165,24 +168,30 @@ def load_model(path: str) -> BpeModel:
         return BpeModel(file.read())
 
 
-def bpe_encode(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """``doc_id, ids, decoded``: each text encoded and decoded again.
+def bpe_encode(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Each text encoded and decoded again: ``doc_id``, the columns ``keep``, ``n_tokens, ids, decoded``.
 
     ``vocabulary``: path of the file on every machine. NULL and empty texts have no ids. Rows are
     encoded one by one, whole, whatever their length; equal rows give equal ids, other columns are ignored.
     """
+    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *keep, "text")
+    own = [f for f in chosen.schema.fields if f.name != "text"]
+    out = T.StructType(own).add("n_tokens", "bigint").add("ids", "array<int>").add("decoded", "string")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load_model(vocabulary)
         for whole in batches:
             for at in range(0, whole.num_rows, _BATCH):
                 batch = whole.slice(at, _BATCH)
-                ids = [model.encode(t or "") for t in column_of(batch, "text").to_pylist()]
-                columns = [column_of(batch, "doc_id"), pa.array(ids, pa.list_(pa.int32()))]
-                columns.append(pa.array([model.decode(i) for i in ids], pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
-
-    chosen = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
-    return chosen.mapInArrow(run, "doc_id bigint, ids array<int>, decoded string")
+                found = [model.encoded(text.as_py() or "") for text in column_of(batch, "text")]
+                ends = np.cumsum([0, *(n for n, _, _ in found)], dtype=np.int64)
+                flat = np.fromstring(" ".join(ids for n, ids, _ in found if n), dtype=np.int32, sep=" ")
+                columns = [column_of(batch, f.name) for f in own]
+                columns += [pa.array(np.diff(ends)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))]
+                columns.append(pa.array([decoded for _, _, decoded in found], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [*(f.name for f in own), "n_tokens", "ids", "decoded"])
+
+    return chosen.mapInArrow(run, out)
 
 
 def bpe_digests(docs: DataFrame, vocabulary: str) -> DataFrame:

@@ -14,6 +14,7 @@ from .line_dedup import MIN_CHARS, MIN_SITES, without_shared_lines
 from .near_dedup import near_duplicates
 from .pii import KINDS, protected_spans
 from .quality import quality_report
+from .substring_dedup import without_repeats
 from .toxicity import held_out_scores
 from .warc import archive_and_index
 
@@ -40,6 +41,11 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = without_repeats(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = archive_and_index(spark, read(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -74,7 +80,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_near_dedup, op4_warc, op5_language, op6_line_dedup, op7_bpe, op8_pii, op9_quality, op10_toxicity)
+    f.__name__: f for f in (op1_decontamination, op2_near_dedup, op3_substring_dedup, op4_warc, op5_language, op6_line_dedup, op7_bpe, op8_pii, op9_quality, op10_toxicity)
 }
 
 ORACLES: dict[str, str] = {
