@@ -176,7 +176,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ()) ->
     """
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *keep, "text")
     own = [f for f in chosen.schema.fields if f.name != "text"]
-    out = T.StructType(own).add("n_tokens", T.LongType())
+    out = T.StructType([*own]).add("n_tokens", T.LongType())
     out = out.add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
