@@ -26,7 +26,7 @@ from .text_blocks import Block, SpanHash, blocks, column_of, covered, mix
 
 LENGTH, ANCHOR = 400, 64
 #: An anchor with more different surroundings than this has its windows counted one by one.
-GROUP_MEMBERS = 4_096
+GROUP_MEMBERS = 16_384
 #: Members whose columns are inserted together.
 ROUND_MEMBERS = 6_000
 _DOC = ["doc", "text_key"]
@@ -37,7 +37,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     own = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1).cast("bigint"))
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text")).withColumns(
-        {"doc": own, "text_key": F.xxhash64("text")}
+        {"doc": own, "text_key": F.hash("text")}
     )
 
 
@@ -69,18 +69,19 @@ def find_anchors(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [column_of(batch, c).to_numpy() for c in _DOC]
-            for block in blocks(column_of(batch, "text")):
+            for block in blocks(column_of(batch, "text"), 2_000_000):
                 hashes = SpanHash(block.data)
                 at, grams = anchors_of(block, hashes, length)
                 text = np.searchsorted(block.offsets, at, "right") - 1
                 first, last = block.offsets[text], block.offsets[text + 1]
                 low, high = np.maximum(at - reach, first), np.minimum(at + length, last)
                 around = mix(hashes(low, high) + (at - low).astype(np.uint64))
-                columns = [grams.view(np.int64), around.view(np.int64), *(c[block.first + text] for c in own), at - first, last - first]
+                columns = [grams.view(np.int64), around.view(np.int64), *(c[block.first + text] for c in own)]
+                columns += [(at - first).astype(np.int32), (last - first).astype(np.int32)]
                 names = ["anchor", "around", *_DOC, "at", "size"]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    schema = "anchor bigint, around bigint, doc bigint, text_key bigint, at bigint, size bigint"
+    schema = "anchor bigint, around bigint, doc bigint, text_key int, at int, size int"
     return docs.select(*_DOC, "text").mapInArrow(find, schema)
 
 
@@ -153,12 +154,13 @@ def _surroundings(needed: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                     rows = []
             yield _places(rows)
 
-    return joined.mapInArrow(cut, "anchor bigint, doc bigint, text_key bigint, at bigint, cut bigint, around binary")
+    return joined.mapInArrow(cut, "anchor bigint, doc bigint, text_key int, at bigint, cut bigint, around binary")
 
 
 def _places(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * 6
-    arrays = [pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(columns[5], pa.binary())]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
     return pa.RecordBatch.from_arrays(arrays, ["anchor", *_DOC, "at", "cut", "around"])
 
 
@@ -181,7 +183,7 @@ def _grouped_spans(places: DataFrame, length: int) -> DataFrame:
             yield _spans_of(pa.Table.from_batches(rest), length)
 
     dealt = places.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(rounds, "doc bigint, text_key bigint, low bigint, high bigint")
+    return dealt.mapInArrow(rounds, "doc bigint, text_key int, low bigint, high bigint")
 
 
 def _spans_of(table: pa.Table, length: int) -> pa.RecordBatch:
@@ -214,12 +216,16 @@ def _counted_spans(places: DataFrame, length: int) -> DataFrame:
                     data = np.frombuffer(around.as_buffer(), dtype=np.uint8)
                     begin = np.arange(max(cut - reach, 0), min(cut, len(data) - length) + 1)
                     n = len(begin)
-                    own = [np.full(n, x, np.int64) for x in (anchor, doc, key)]
-                    rows.append([*own, at - cut + begin, SpanHash(data)(begin, begin + length).view(np.int64)])
-                flat = [np.concatenate(c) for c in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 5
+                    own = [np.full(n, anchor, np.int64), np.full(n, doc, np.int64), np.full(n, key, np.int32)]
+                    # With the anchor's place: a window that holds the anchor twice is still one window.
+                    own_hash = mix(SpanHash(data)(begin, begin + length) + (cut - begin).astype(np.uint64))
+                    rows.append([*own, at - cut + begin, own_hash.view(np.int64)])
+                flat = [np.concatenate(c) for c in zip(*rows)] if rows else []
+                if not flat:
+                    continue
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in flat], ["anchor", *_DOC, "low", "window"])
 
-    schema = "anchor bigint, doc bigint, text_key bigint, low bigint, window bigint"
+    schema = "anchor bigint, doc bigint, text_key int, low bigint, window bigint"
     table = stage(places.mapInArrow(windows, schema), "windows")
     several = table.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     found = table.join(several, ["anchor", "window"], "left_semi")
@@ -229,7 +235,9 @@ def _counted_spans(places: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, group_members: int = GROUP_MEMBERS) -> DataFrame:
     """``doc, text_key, low, high``: byte spans that repeated strings of ``length`` bytes cover, in parts that overlap."""
     reach = length - ANCHOR
-    places = stage(find_anchors(docs, length), "anchors")
+    every = stage(find_anchors(docs, length), "anchors")
+    twice = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    places = stage(every.join(twice, "anchor", "left_semi"), "shared-anchors")
     same = places.groupBy("anchor", "around").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(*_DOC, "at")).alias("first")
     )

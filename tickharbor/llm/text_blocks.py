@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = (4 << 20) - 1024
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -103,7 +103,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(22, int(n).bit_length()))
+    return _powers(1 << max(20, int(n).bit_length()))
 
 
 @lru_cache(maxsize=8)
