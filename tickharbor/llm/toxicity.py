@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import stage
 from .language import fold
 from .text_blocks import LETTERS, Block, SpanHash, blocks, column_of, owners, spans
 
@@ -24,7 +25,7 @@ WINDOW, STRIDE, HIDDEN = 32, 16, 8
 BUCKETS = 1 << 18
 NGRAMS = (3, 4, 5)
 #: At most so many labelled rows of each label train the network.
-SAMPLE = 2_000
+SAMPLE = 1_000
 EPOCHS, RATE, BATCH = 10, 0.02, 64
 THRESHOLD = 0.7
 _RANDOM = 6
@@ -240,13 +241,17 @@ def worst(logits: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
 def train(network: Network, texts: list[str], labels: np.ndarray, epochs: int = EPOCHS) -> Network:
     """Fit the weights on whole texts: in each epoch on the window of each text that scores highest so far."""
     rng = np.random.default_rng(11)
-    parts = [(b.first, b.size, w, network.inputs(w), *windows_of(w)) for b in blocks(pa.array(texts, pa.string()), 1 << 20) for w in [read_words(b)]]
+    parts = []
+    for block in blocks(pa.array(texts, pa.string()), 1 << 19):
+        words = read_words(block)  # not kept: the n-grams take far more room than the inputs made of them
+        windows, owner = windows_of(words)
+        parts.append((block.first, network.inputs(words), windows.astype(np.int32), owner.astype(np.int32)))
     weights = network.weights
     mean, square = ({k: np.zeros_like(v) for k, v in weights.items()} for _ in range(2))
     step = 0
     for epoch in range(epochs):
         rows, targets = [], []
-        for first, size, words, inputs, windows, owner in parts:
+        for first, inputs, windows, owner in parts:
             logits = network.window_logits(inputs, windows)
             if epoch == 0:  # before any training: the window with the most telling word
                 logits = inputs[windows][:, :, :2].sum(axis=2).max(axis=1)
@@ -281,10 +286,15 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Network:
     whose ids hash lowest). Without rows of both labels the network gives the base rate.
     """
     rows = labelled.select("doc_id", "text", F.col("label").cast("int").alias("label")).where("label IN (0, 1)")
+    rows = stage(rows, "labelled")
     counts, totals = label_counts(rows.select("text", "label"))
     network = Network.untrained(counts, totals)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    taken = [r for label in (0, 1) for r in rows.where(F.col("label") == label).orderBy(*order).limit(sample).collect()]
+    ids = rows.select("doc_id", "label")
+    chosen = [r.doc_id for k in (0, 1) for r in ids.where(F.col("label") == k).orderBy(*order).limit(sample).collect()]
+    # At most 2 * sample ids; their texts alone come to the driver.
+    wanted = rows.sparkSession.createDataFrame([(i,) for i in set(chosen)], "doc_id bigint")
+    taken = rows.join(wanted, "doc_id", "left_semi").orderBy("doc_id").collect()
     if not totals.all():
         network.weights = {k: np.zeros_like(v) for k, v in network.weights.items()}
         return network
@@ -320,7 +330,8 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int
     """``doc_id, text, label`` of the rows to learn from: labelled by ``toxic``, outside fold ``held``."""
     own = labels.select(F.col("doc_id").alias("labelled"), F.col("toxic").alias("label")).dropDuplicates(["labelled"])
     chosen = docs.select("doc_id", "text").where(fold(F.col("doc_id"), folds) != held)
-    return chosen.join(own, chosen.doc_id == own.labelled).select("doc_id", "text", "label")
+    # A merge join whatever the sizes, as the labels grow with the texts.
+    return chosen.join(own.hint("merge"), chosen.doc_id == own.labelled).select("doc_id", "text", "label")
 
 
 def held_out_scores(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
