@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import stage
@@ -24,17 +24,21 @@ from .text_blocks import NOT_BLANK, SpanHash, blocks, column_of, mix, spans, win
 
 SHINGLE = 5
 #: Buckets of a sketch, and how many of them make a band: two documents at a similarity of 0.85 miss all
-#: 40 bands once in 10**8 pairs.
-BUCKETS, BAND = 240, 6
+#: 60 bands once in 10**8 pairs.
+BUCKETS, BAND = 480, 8
 PERCENT = 85
 MANTISSA_BITS = 4
 #: Chance that two different smallest hashes leave the same byte: equal leading zeros and mantissa.
 COLLISION = 1 / (3 * 2**MANTISSA_BITS)
-#: Pairs whose estimate is lower are no candidates: seven standard errors below 0.85. Sets smaller than
-#: this are always confirmed, as their sketches repeat registers.
-LEAST_ESTIMATE, SMALL_SET = 0.68, 120
+#: No pair is a candidate below this estimate: five standard errors from 0.85. Registers that repeat others,
+#: in small sets, are as good as a sample with replacement, so the bound holds for every size.
+LEAST_ESTIMATE = 0.765
+#: A word of 48 register parities and a size comes with each class, to sort out most chance meetings before
+#: registers are fetched: linked documents differ in 4 parities on average, and in more than 15 once in 10**8.
+PARITIES, MOST_DIFFERENT, PARITY_SET = 48, 15, 60
+SIZE_STEPS = 1000
 BLOCK_ROWS = 512
-_SKETCH = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, registers binary"
+_SKETCH = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, tag bigint, registers binary"
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -98,6 +102,22 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (((a == b).mean(axis=-1) - COLLISION) / (1 - COLLISION)).clip(0, 1)
 
 
+def tags(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Parities of every tenth register, and above them the logarithm of the set's size in thousandths."""
+    parities = np.bitwise_count(values[:, :: BUCKETS // PARITIES]) & 1
+    word = (parities.astype(np.int64) << np.arange(PARITIES)).sum(axis=1)
+    return word | np.round(np.log(np.maximum(sizes, 1)) * SIZE_STEPS).astype(np.int64) << PARITIES
+
+
+def _tags_allow(a: Column, b: Column) -> Column:
+    """Whether two tags leave room for a link: near enough in size, and in parities unless a set is small."""
+    size_a, size_b = F.shiftright(a, PARITIES), F.shiftright(b, PARITIES)
+    sizes = F.abs(size_a - size_b) <= int(np.log(100 / PERCENT) * SIZE_STEPS) + 2
+    different = F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit((1 << PARITIES) - 1)))
+    small = F.least(size_a, size_b) < int(np.log(PARITY_SET) * SIZE_STEPS)
+    return sizes & (small | (different <= MOST_DIFFERENT))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, set_a, set_b, registers`` of each row; two sums over the set stand for it."""
 
@@ -106,11 +126,12 @@ def sketches(docs: DataFrame) -> DataFrame:
             ids = column_of(batch, "doc_id")
             for first, sets in shingle_sets(column_of(batch, "text")):
                 sums = [(int(s.sum()), int(mix(s).sum())) for s in sets]
-                kept = [bytes(r) for r in registers(sets)]
+                values = registers(sets)
+                kept = [bytes(r) for r in values]
                 columns = [ids.slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64())]
                 columns += [pa.array(np.array([s[i] for s in sums], dtype=np.uint64).view(np.int64)) for i in (0, 1)]
-                columns.append(pa.array(kept, pa.binary()))
-                names = ["doc_id", "n_shingles", "set_a", "set_b", "registers"]
+                columns += [pa.array(tags(values, np.array([len(s) for s in sets]))), pa.array(kept, pa.binary())]
+                names = ["doc_id", "n_shingles", "set_a", "set_b", "tag", "registers"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text").mapInArrow(sketch, _SKETCH)
@@ -122,7 +143,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def _near_enough(n_a, n_b, registers_a, registers_b) -> np.ndarray:
     small, large = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
-    return (100 * small >= PERCENT * large) & ((small < SMALL_SET) | (estimate(registers_a, registers_b) >= LEAST_ESTIMATE))
+    return (100 * small >= PERCENT * large) & (estimate(registers_a, registers_b) >= LEAST_ESTIMATE)
 
 
 def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -144,10 +165,10 @@ def _with_both(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFr
     return pairs.select("a", "b", *[f"{c}_{s}" for c in columns for s in ("a", "b")])
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of ``pairs`` that are linked by their full shingle sets."""
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    texts = docs.selectExpr("CAST(doc_id AS BIGINT) AS rep", "text").join(wanted, "rep", "left_semi")
+def shingle_table(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rep, shingles``: the full sets of the documents ``wanted`` (``rep``), from whole texts."""
+    # A merge join whatever the sizes: the texts are far larger than the ids, and those grow with them.
+    texts = docs.selectExpr("CAST(doc_id AS BIGINT) AS rep", "text").join(wanted.hint("merge"), "rep", "left_semi")
 
     def collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,6 +177,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 shingles = pa.array([s.tobytes() for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([ids.slice(first, len(sets)), shingles], ["rep", "shingles"])
 
+    return stage(texts.mapInArrow(collect_sets, "rep bigint, shingles binary"), "shingles")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` that are linked by their full shingle sets."""
+
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
@@ -167,15 +194,15 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 ok.append(common > 0 and 100 * common >= PERCENT * (len(a) + len(b) - common))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    sets = stage(texts.mapInArrow(collect_sets, "rep bigint, shingles binary"), "shingles")
     return stage(_with_both(pairs, sets, ["shingles"]).mapInArrow(confirm, "a bigint, b bigint"), "links")
 
 
 def _across(members: DataFrame) -> DataFrame:
-    """Likely pairs of ``members`` (``key, rep, label, n, registers``) of one key and different labels.
+    """Likely pairs of ``members`` (``key, band, rep, label, n, registers``) of one key and different labels.
 
     The members of a key are dealt over blocks of some ``BLOCK_ROWS`` rows, and each two blocks of a
-    key meet in one group, so that no group grows with the key. Only likely pairs come out.
+    key meet in one group, so that no group grows with the key. Only likely pairs come out, each for the
+    first band that it has in common.
     """
     counts = members.groupBy("key").agg(F.countDistinct("label").alias("labels"), F.count(F.lit(1)).alias("rows"))
     counts = counts.where("labels > 1").select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
@@ -184,7 +211,7 @@ def _across(members: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.withColumn("other", other).select(
         "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        "own", "rep", "label", "n", "registers",
+        "own", "band", "rep", "label", "n", "registers",
     )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,13 +241,16 @@ def _group_heads(table: pa.Table) -> np.ndarray:
 def _pairs_of(table: pa.Table, heads: np.ndarray) -> pa.RecordBatch:
     found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
     if len(heads):
-        rep, label, n, own, low, high = (table[c].to_numpy() for c in ("rep", "label", "n", "own", "low", "high"))
+        names = ("band", "rep", "label", "n", "own", "low", "high")
+        band, rep, label, n, own, low, high = (table[c].to_numpy() for c in names)
         values = _matrix(table["registers"].combine_chunks())
         for begin, end in zip(heads, np.append(heads[1:], table.num_rows)):
             for i in range(begin, end):
                 j = np.arange(i + 1, end)
                 j = j[(label[j] != label[i]) & ((own[j] != own[i]) | (low[i] == high[i]))]
                 j = j[_near_enough(n[i], n[j], values[i], values[j])]
+                same = (values[j] == values[i]).reshape(len(j), BUCKETS // BAND, BAND).all(axis=2)
+                j = j[same.argmax(axis=1) == band[i]]
                 found.append(np.stack([np.maximum(rep[i], rep[j]), np.minimum(rep[i], rep[j])], axis=1))
     pairs = np.concatenate(found)
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
@@ -239,7 +269,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stage(
         rows.where("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy(*sets)
-        .agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers"))
+        .agg(F.min("doc_id").alias("rep"), F.min("tag").alias("tag"), F.first("registers").alias("registers"))
         .withColumnRenamed("n_shingles", "n"),
         "classes",
     )
@@ -248,25 +278,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.lit(BUCKETS // BAND - 1)),
         lambda band: F.xxhash64(band, F.substring("registers", band * BAND + 1, F.lit(BAND))),
     )
-    members = classes.select("rep", F.explode(bands).alias("key"))
-    hubs = members.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last")
-    shared = stage(members.join(hubs.select("key", "hub"), "key").where("rep <> hub"), "members")
-
-    stars = shared.select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-    links = confirmed(stage(likely(stars, classes), "likely"), docs)
+    members = classes.select("rep", "tag", F.posexplode(bands).alias("band", "key"))
+    hubs = members.groupBy("key").agg(
+        F.min("rep").alias("hub"), F.min_by("tag", "rep").alias("hub_tag"), F.max("rep").alias("last")
+    )
+    hubs = hubs.where("hub < last").drop("last")
+    shared = stage(members.join(hubs, "key").where("rep <> hub"), "members")
+
+    near_hub = shared.where(_tags_allow(F.col("tag"), F.col("hub_tag")))
+    stars = near_hub.select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    ends = shared.select("rep").union(shared.select("hub")).distinct()
+    full_sets = shingle_table(ends, docs)
+    links = confirmed(stage(likely(stars, classes), "likely"), full_sets)
     labels = stage(components(links), "labels").select(F.col("node").alias("rep"), "label")
 
-    rest = shared.join(labels, "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
+    rest = shared.join(labels, "rep", "left").select("key", "band", "rep", F.coalesce("label", "rep").alias("label"))
     several = rest.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
-    open_rows = stage(rest.join(several, "key", "left_semi"), "open").join(classes.drop("set_a", "set_b"), "rep")
+    open_rows = stage(rest.join(several, "key", "left_semi"), "open").join(classes.select("rep", "n", "registers"), "rep")
     more = stage(_across(open_rows), "across")
     if not more.isEmpty():
-        links = links.unionByName(confirmed(more, docs))
+        links = links.unionByName(confirmed(more, full_sets))
         labels = stage(components(links), "labels").select(F.col("node").alias("rep"), "label")
 
-    of_set = classes.drop("registers").withColumnRenamed("n", "n_shingles").join(labels, "rep", "left")
+    of_set = classes.drop("registers", "tag").withColumnRenamed("n", "n_shingles").join(labels, "rep", "left")
     of_set = of_set.select(*sets, F.coalesce("label", "rep").alias("component"))
-    out = rows.drop("registers").join(of_set, sets, "left")
+    out = rows.drop("registers", "tag").join(of_set, sets, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
     return out.select("doc_id", "n_shingles", component).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))

@@ -22,7 +22,8 @@ from .language import fold
 from .text_blocks import LETTERS, Block, SpanHash, blocks, column_of, owners, spans
 
 WINDOW, STRIDE, HIDDEN = 32, 16, 8
-BUCKETS = 1 << 18
+BUCKET_BITS = 17
+BUCKETS = 1 << BUCKET_BITS
 NGRAMS = (3, 4, 5)
 #: At most so many labelled rows of each label train the network.
 SAMPLE = 1_000
@@ -69,7 +70,7 @@ def read_words(block: Block) -> Words:
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - 18)).astype(np.int64)
+    return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 def label_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +98,7 @@ def label_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         keys = np.concatenate([used, seen.size + np.arange(2)])
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([seen.ravel()[used], rows]))], ["key", "n"])
 
-    parts = labelled.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    parts = labelled.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     flat = np.zeros(4 * BUCKETS + 2)
     flat[parts["key"].to_numpy()] = parts["n"].to_numpy()
     return flat[:-2].reshape(2, 2, BUCKETS), flat[-2:]
