@@ -1,7 +1,8 @@
 """Partition specs and the column predicates made from them.
 
 A spec selects hours of the lake: ``{"year": 2025, "month": 8}`` means every hour of that
-month. Values are compared as integers, so ``08`` and ``8`` select the same directory.
+month, and the empty spec, ``all`` in text, every hour there is. Values are compared as integers,
+so ``08`` and ``8`` select the same directory.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..schema import PARTITION_COLS
 
 Spec = dict[str, int]
+ALL_HOURS = "all"
 Specs = str | Mapping[str, int] | Iterable[Mapping[str, int]]
 
 
@@ -29,6 +31,8 @@ def parse_partition_specs(
 
 def _parse_one(group: str, partition_cols: Sequence[str]) -> Spec:
     spec: Spec = {}
+    if group.strip() == ALL_HOURS:
+        return spec
     for item in group.split(","):
         name, equals, value = (part.strip() for part in item.partition("="))
         if not equals:
@@ -56,7 +60,7 @@ def as_specs(
 
 
 def format_spec(spec: Mapping[str, int]) -> str:
-    return ",".join(f"{name}={value}" for name, value in spec.items())
+    return ",".join(f"{name}={value}" for name, value in spec.items()) or ALL_HOURS
 
 
 def partition_spec_for(when: dt.date | dt.datetime, grain: str = "day") -> Spec:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.partitions import Spec, Specs, as_specs, format_spec, partition_predicate
+from ..functions.partitions import ALL_HOURS, Spec, Specs, as_specs, format_spec, partition_predicate
 from ..schema import INVENTORY_SCHEMA, LAKE_SCHEMA, PARTITION_COLS
 from ..scratch import stage
 from ..sources.lake import path_is_missing, read_partitions, read_ticks
@@ -41,6 +41,9 @@ _REPORT_SCHEMA = ", ".join(
 # A job that Spark aborts surfaces as the second kind.
 _SPARK_ERRORS = (PySparkException, Py4JJavaError)
 
+#: An hour gets as many files as keep each of them below so much raw data, and ``num_files`` at least.
+MAX_FILE_BYTES = 1 << 30
+
 
 class CompactionError(RuntimeError):
     """At least one selected partition was not compacted."""
@@ -95,7 +98,7 @@ def compact_partitions(
     compacted: str,
     specs: Specs,
     num_files: int = 1,
-    max_file_bytes: int = 1 << 30,
+    max_file_bytes: int = MAX_FILE_BYTES,
     schema: T.StructType = LAKE_SCHEMA,
     raise_on_failure: bool = False,
 ) -> DataFrame:
@@ -123,7 +126,7 @@ def run_compaction(
     compacted: str,
     specs: Specs,
     num_files: int = 1,
-    max_file_bytes: int = 1 << 30,
+    max_file_bytes: int = MAX_FILE_BYTES,
     schema: T.StructType = LAKE_SCHEMA,
 ) -> Compaction:
     """:func:`compact_partitions`, with the file lists the report is made from."""
@@ -254,6 +257,9 @@ def _missing_report(spark: SparkSession, before: DataFrame, specs: list[Spec]) -
     by_columns: dict[tuple[str, ...], list[Spec]] = {}
     for spec in specs:
         by_columns.setdefault(tuple(sorted(spec)), []).append(spec)
+    if by_columns.pop((), None) and before.isEmpty():
+        nothing = spark.createDataFrame([(ALL_HOURS,)], "partition string")
+        found = nothing.select("partition", F.lit("missing").alias("status"), *_no_values("message", *_COUNTS))
     for columns, group in by_columns.items():
         asked = spark.createDataFrame(
             [(format_spec(spec).replace(",", "/"), *[spec[c] for c in columns]) for spec in group],
@@ -267,9 +273,16 @@ def _missing_report(spark: SparkSession, before: DataFrame, specs: list[Spec]) -
     return found
 
 
+def _cause(error: Exception) -> str:
+    """The innermost cause that the JVM gives, which names the file; else the first line there is."""
+    lines = [line.strip() for line in str(error).splitlines() if line.strip()]
+    causes = [line for line in lines if line.startswith("Caused by:")]
+    return (causes[-1:] or lines or [type(error).__name__])[0]
+
+
 def _failure_report(spark: SparkSession, failed: list[tuple[Spec, Exception]]) -> DataFrame:
     rows = [
-        (format_spec(spec).replace(",", "/"), "failed", str(error).strip().splitlines()[0])
+        (format_spec(spec).replace(",", "/"), "failed", _cause(error))
         for spec, error in failed
     ]
     return spark.createDataFrame(rows, "partition string, status string, message string").select(

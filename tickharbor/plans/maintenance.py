@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.partitions import Specs, as_specs, hour_key, partition_predicate
-from ..operators.compaction import run_compaction
+from ..operators.compaction import MAX_FILE_BYTES, run_compaction
 from ..operators.inventory import assert_compaction, require_compaction
 from ..operators.sinks import save_inventory
 from ..schema import LAKE_SCHEMA
@@ -35,6 +35,7 @@ def compact_and_verify(
     specs: Specs,
     snapshots: str,
     num_files: int = 1,
+    max_file_bytes: int = MAX_FILE_BYTES,
     min_pct: float = 0.0,
     per_partition: bool = False,
     strict: bool = False,
@@ -47,7 +48,7 @@ def compact_and_verify(
     they became, so what the stream adds meanwhile does not disturb the comparison. Row counts
     must agree in every case; the file-count target is that of ``assert_compaction``.
     """
-    run = run_compaction(spark, raw, compacted, specs, num_files, schema=schema)
+    run = run_compaction(spark, raw, compacted, specs, num_files, max_file_bytes, schema)
     before = _snapshot(spark, run.before, raw, f"{snapshots}/before")
     after = _snapshot(spark, run.after, compacted, f"{snapshots}/after")
     failures = assert_compaction(before, after, min_pct, per_partition, strict)
@@ -93,25 +94,21 @@ def tick_view(
     specs: Specs | None = None,
     schema: T.StructType = LAKE_SCHEMA,
 ) -> DataFrame:
-    """Compacted hours, plus the raw rows of hours that have no compacted copy.
+    """Every row: compacted hours, and raw for the hours whose compacted copy is missing or out of date.
 
-    The hours that still live in raw are staged first: one row each, and small, since only
-    hours behind the last compaction are in it. The semi join on them prunes the other raw
-    directories at run time. Rows that arrive in an hour after its compaction appear once
-    that hour is compacted again: see :func:`hours_needing_compaction`.
+    The hours that live in raw are staged first: one row each, and small, since only hours behind
+    the last compaction, and those with late rows, are in it. The semi join on them prunes the other
+    raw directories at run time, and an anti join keeps their old copies out.
 
     ``specs`` narrows the view to some partitions, and with it the file footers that are looked at.
     """
     raw_ticks, compacted_ticks = _both_roots(spark, raw, compacted, specs, schema)
     open_hours = stage(
-        _raw_against_compacted(raw_ticks, compacted_ticks).where("compacted_rows = 0"), "open-hours"
-    )
-    still_raw = (
-        raw_ticks.withColumn("hour_key", hour_key())
-        .join(open_hours.where("raw_rows > 0").select("hour_key"), "hour_key", "left_semi")
-        .drop("hour_key")
-    )
-    return compacted_ticks.unionByName(still_raw)
+        _raw_against_compacted(raw_ticks, compacted_ticks).where("raw_rows <> compacted_rows"), "open-hours"
+    ).where("raw_rows > 0").select("hour_key")  # the filter lets the join prune directories
+    still_raw = raw_ticks.withColumn("hour_key", hour_key()).join(open_hours, "hour_key", "left_semi")
+    current = compacted_ticks.withColumn("hour_key", hour_key()).join(open_hours, "hour_key", "left_anti")
+    return current.unionByName(still_raw).drop("hour_key")
 
 
 def hours_needing_compaction(

@@ -93,6 +93,8 @@ ORACLES: dict[str, str] = {
         SELECT ticker, round(avg(price), 6) AS avg_price, min(price) AS min_price,
                max(price) AS max_price FROM ticks WHERE ticker = 'purchase' GROUP BY ticker""",
     "ticker_list": f"WITH {_TICKS} SELECT DISTINCT ticker FROM ticks WHERE ticker IS NOT NULL",
+    "ticker_list_with_null": f"""WITH {_TICKS}
+        SELECT DISTINCT CASE WHEN ticker <> 'error' THEN ticker END AS ticker FROM ticks""",
     "tick_count": f"""WITH {_TICKS}
         SELECT count(*) AS total_records, count(*) = 0 AS is_empty FROM ticks""",
     "ticks_by_partition": f"""WITH {_TICKS}
@@ -208,16 +210,19 @@ ORACLES: dict[str, str] = {
     "verified_compaction": f"""WITH {_HOURS}, d AS (
         SELECT 'year=' || year || '/month=' || month || '/day=' || day AS label,
                CAST(sum(n_files) AS BIGINT) AS files_before, count(*) AS files_after
-        FROM hours WHERE year = 2024 AND month = 1 AND day <= 15 GROUP BY 1)
+        FROM hours GROUP BY 1)
         SELECT label, files_before, files_after,
                round(CAST(files_before - files_after AS DOUBLE) / files_before * 100, 6) AS reduction_pct
         FROM d""",
     "repeated_compaction": f"""WITH {_TICKS}
-        SELECT {_COLUMNS} FROM ticks WHERE year = 2024 AND month = 1 AND day <= 15""",
+        SELECT {_COLUMNS} FROM ticks""",
     "ticks_view": f"WITH {_TICKS} SELECT {_COLUMNS} FROM ticks",
-    "stale_hours": f"""WITH {_HOURS}
+    "ticks_view_late": f"WITH {_TICKS} SELECT {_COLUMNS} FROM ticks",
+    "stale_hours": f"""WITH {_HOURS}, d AS (
+        SELECT year, month, day, row_number() OVER (ORDER BY year, month, day) AS n, count(*) OVER () AS days
+        FROM (SELECT DISTINCT year, month, day FROM hours))
         SELECT year, month, day, hour, n_rows AS raw_rows, CAST(0 AS BIGINT) AS compacted_rows
-        FROM hours WHERE NOT (year = 2024 AND month = 1 AND day <= 15)""",
+        FROM hours JOIN d USING (year, month, day) WHERE n > (days + 1) // 2""",
     # streams
     "tick_stream_roundtrip": f"WITH {_SENT} SELECT ticker, price, volume, ts, {_PARTS} FROM sent",
     "message_file_stream": f"WITH {_SENT} SELECT ticker, price, volume, ts, {_PARTS} FROM sent",

@@ -25,7 +25,7 @@ from ..functions import (
     split_bad_ticks,
     with_time_partitions,
 )
-from ..functions.partitions import hour_key
+from ..functions.partitions import ALL_HOURS, hour_key
 from ..schema import LAKE_SCHEMA, PARTITION_COLS, TICK_SCHEMA
 from ..scratch import scratch_path
 from ..session import pin_zone
@@ -52,9 +52,7 @@ QUERIES: dict[str, Query] = {}
 # Parameters of the registered queries; the comparison SQL uses the same ones.
 TICKER = "purchase"
 SINCE = dt.datetime(2024, 1, 20, 12, 30)
-AS_OF = dt.datetime(2024, 1, 31)
 SPREAD = 32
-FIRST_DAYS = [{"year": 2024, "month": 1, "day": day} for day in range(1, 16)]
 
 
 def query(fn: Query) -> Query:
@@ -201,7 +199,7 @@ def compacted_lake(spark: SparkSession, sf_dir: str) -> str:
     if at not in _lakes:
         path = scratch_path(spark, "compacted")
         ops.compact_partitions(
-            spark, raw_lake(spark, sf_dir), path, {"year": 2024}, raise_on_failure=True
+            spark, raw_lake(spark, sf_dir), path, ALL_HOURS, raise_on_failure=True
         )
         _lakes[at] = path
     return _lakes[at]
@@ -269,6 +267,13 @@ def ticker_list(spark, sf_dir):
     return ops.ticker_list(ticks_of(spark, sf_dir))
 
 
+@query
+def ticker_list_with_null(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    kind = F.when(F.col("event_type") != "error", F.col("event_type"))
+    return ops.ticker_list(events_as_ticks(events.withColumn("event_type", kind)), keep_null=True)
+
+
 @query
 def tick_count(spark, sf_dir):
     return ops.tick_count(ticks_of(spark, sf_dir))
@@ -290,7 +295,9 @@ def latest_ticks(spark, sf_dir):
 @query
 def latest_ticks_recent(spark, sf_dir):
     lake = read_ticks(spark, compacted_lake(spark, sf_dir), LAKE_SCHEMA)
-    return ops.latest_ticks_recent(lake, 5, as_of=AS_OF)
+    newest = ticks_of(spark, sf_dir).agg(F.unix_micros(F.max("ts")).alias("at")).first().at
+    as_of = dt.datetime.fromtimestamp(newest / 1e6, dt.timezone.utc)
+    return ops.latest_ticks_recent(lake, 5, as_of=as_of)
 
 
 @query
@@ -522,7 +529,7 @@ def last_files_by_name(spark, sf_dir):
 @query
 def compaction_report(spark, sf_dir):
     """Compact every hour into one file, plus a month that the lake does not have."""
-    specs = [{"year": 2024, "month": 1}, {"year": 2024, "month": 13}]
+    specs = [{}, {"year": 2024, "month": 13}]
     report = ops.compact_partitions(spark, raw_lake(spark, sf_dir), scratch_path(spark, "compacted"), specs)
     return report.select(
         "partition", "status", "rows_before", "rows_after", "files_before", "files_after"
@@ -536,30 +543,39 @@ def compacted_rows(spark, sf_dir):
 
 @query
 def repeated_compaction(spark, sf_dir):
-    """Compact the first days twice, the second time with overlapping specs: nothing changes."""
+    """Compact every hour twice, the second time with overlapping specs: nothing changes."""
     raw, path = raw_lake(spark, sf_dir), scratch_path(spark, "compacted")
-    for specs in (FIRST_DAYS, FIRST_DAYS[:8] + FIRST_DAYS[4:]):
+    for specs in (ALL_HOURS, [{}, *first_days(spark, sf_dir)]):
         ops.compact_partitions(spark, raw, path, specs, raise_on_failure=True)
     return read_ticks(spark, path, LAKE_SCHEMA)
 
 
 @query
 def verified_compaction(spark, sf_dir):
-    """Per-day file counts of the snapshots around a compaction of the first days."""
+    """Per-day file counts of the snapshots around a compaction of every hour."""
     done = compact_and_verify(
         spark,
         raw_lake(spark, sf_dir),
         scratch_path(spark, "compacted"),
-        FIRST_DAYS,
+        ALL_HOURS,
         scratch_path(spark, "snapshots"),
         per_partition=True,
     )
     return ops.compaction_reduction(done.before, done.after, per_partition=True)
 
 
+def first_days(spark: SparkSession, sf_dir: str) -> list[dict[str, int]]:
+    """The earlier half of the days that the data have: a spec each."""
+    names = PARTITION_COLS[:3]
+    days = ticks_of(spark, sf_dir).select(*names).distinct().orderBy(*names).collect()
+    return [row.asDict() for row in days[: (len(days) + 1) // 2]]
+
+
 def _half_compacted(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "compacted")
-    ops.compact_partitions(spark, raw_lake(spark, sf_dir), path, FIRST_DAYS, raise_on_failure=True)
+    ops.compact_partitions(
+        spark, raw_lake(spark, sf_dir), path, first_days(spark, sf_dir), raise_on_failure=True
+    )
     return path
 
 
@@ -569,6 +585,18 @@ def ticks_view(spark, sf_dir):
     return tick_view(spark, raw_lake(spark, sf_dir), _half_compacted(spark, sf_dir))
 
 
+@query
+def ticks_view_late(spark, sf_dir):
+    """The view after rows of one ticker arrived late, in hours that had been compacted."""
+    raw, path = scratch_path(spark, "raw"), scratch_path(spark, "compacted")
+    ticks = ticks_of(spark, sf_dir)
+    late = F.coalesce(F.col("ticker") == TICKER, F.lit(False))
+    ops.save_table(ticks.where(~late), raw, PARTITION_COLS, mode="append", spread=SPREAD)
+    ops.compact_partitions(spark, raw, path, ALL_HOURS, raise_on_failure=True)
+    ops.save_table(ticks.where(late), raw, PARTITION_COLS, mode="append", spread=SPREAD)
+    return tick_view(spark, raw, path)
+
+
 @query
 def stale_hours(spark, sf_dir):
     return hours_needing_compaction(spark, raw_lake(spark, sf_dir), _half_compacted(spark, sf_dir))
