@@ -2,6 +2,7 @@ import pytest
 
 from tickharbor.jobs import main
 from tickharbor.operators.inventory import CompactionCheckFailed
+from tickharbor.session import build_session
 
 from .helpers import append, data_files, ticks
 
@@ -20,10 +21,27 @@ def test_compact_then_summarise(spark, raw, base, capsys):
     assert sum(data_files(f"{base}/compacted").values()) == 1
     main(["summary", *roots, "--out", f"{base}/summary"])
     assert "|A     |3" in capsys.readouterr().out
-    main(["diff", "--a", f"{base}/snap/before", "--b", f"{base}/snap/after"])
+    main(["diff", "--a", f"{base}/snap/before", "--b", f"{base}/snap/after", "--out", f"{base}/diff"])
     assert "removed|    3" in capsys.readouterr().out
-    with pytest.raises(CompactionCheckFailed):
-        main(["compact", *roots, *snapshots, "--partitions", "year=1999"])
+    assert spark.read.parquet(f"{base}/diff").count() == 4
+    with pytest.raises(CompactionCheckFailed, match="1 failures"):
+        main(["compact", *roots, *snapshots, "--partitions", "year=1999", "--report", f"{base}/kept"])
+    assert [r.status for r in spark.read.parquet(f"{base}/kept/report").collect()] == ["missing"]
+
+
+def test_compaction_of_the_run_day(spark, raw, base):
+    roots = ["--raw", raw, "--compacted", f"{base}/compacted", "--snapshots", f"{base}/snap"]
+    main(["compact", *roots, "--run-date", "2025-08-10", "--max-file-bytes", "512", "--report", f"{base}/kept"])
+    (row,) = spark.read.parquet(f"{base}/kept/report").collect()
+    assert row.files_wanted > 1 and 1 <= row.files_after <= row.files_wanted and row.rows_after == 3
+
+
+def test_submitted_settings_are_kept(spark):
+    given = spark.sparkContext.getConf()
+    build_session(conf={"spark.sql.files.maxPartitionNum": "77"})
+    assert spark.conf.get("spark.sql.files.maxPartitionNum") == "77"
+    build_session()
+    assert given.contains("spark.sql.files.maxPartitionNum") or spark.conf.get("spark.sql.files.maxPartitionNum") == "200000"
 
 
 def test_inventory_with_snapshot(spark, raw, base, capsys):

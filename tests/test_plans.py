@@ -43,6 +43,10 @@ def test_tail_limits_before_each_shuffle(df):
     assert text.index("Partial") > text.index("Exchange hashpartitioning(ticker")
 
 
+def test_long_tails_are_limited_before_each_shuffle(df):
+    assert plan(ops.ticker_tail(df, 5_000), "simple").count("WindowGroupLimit") == 4
+
+
 def test_bands_do_not_shuffle_the_rows(df):
     text = plan(ops.price_bands(df), "simple")
     assert "BroadcastHashJoin" in text and "Window" not in text and "hashpartitioning" not in text

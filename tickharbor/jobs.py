@@ -3,40 +3,58 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import time
 
 from pyspark.sql import SparkSession
 
 from . import operators as ops
+from .functions import partition_spec_for
+from .operators.compaction import MAX_FILE_BYTES
 from .plans.maintenance import compact_and_verify, tick_view
 from .schema import LAKE_SCHEMA
 from .session import build_session
 from .sources import file_inventory, read_inventory, read_ticks, tick_source
 from .streaming import ingest_ticks
+from .streaming.ingest import TRIGGER
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     """Kafka to the raw root and the quarantine, until stopped."""
     messages = tick_source(
-        spark, bootstrap=args.bootstrap, topic=args.topic, fail_on_data_loss=not args.allow_data_loss
+        spark,
+        bootstrap=args.bootstrap,
+        topic=args.topic,
+        starting_offsets=args.starting_offsets,
+        max_offsets_per_trigger=args.max_offsets,
+        fail_on_data_loss=not args.allow_data_loss,
+    )
+    ingest_ticks(
+        messages, args.raw, args.quarantine, args.checkpoints, trigger=args.trigger, spread=args.spread
     )
-    ingest_ticks(messages, args.raw, args.quarantine, args.checkpoints)
     spark.streams.awaitAnyTermination()
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Compact the selected hours and fail if the result misses its target."""
-    compact_and_verify(
+    """Compact the selected hours, or those of the run's day; fail if the result misses its target."""
+    done = compact_and_verify(
         spark,
         args.raw,
         args.compacted,
-        args.partitions,
+        args.partitions or partition_spec_for(args.run_date or dt.datetime.now(dt.timezone.utc)),
         args.snapshots,
         num_files=args.num_files,
+        max_file_bytes=args.max_file_bytes,
         min_pct=args.min_reduction_pct,
         per_partition=args.per_partition,
         strict=args.strict,
-    ).report.show(100, truncate=False)
+        raise_on_failure=False,
+    )
+    if args.report:
+        ops.save_table(done.report, f"{args.report}/report")
+        ops.save_table(done.failures, f"{args.report}/failures")
+    done.report.show(100, truncate=False)
+    done.require()
 
 
 def summary(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -67,8 +85,11 @@ def inventory(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def diff(spark: SparkSession, args: argparse.Namespace) -> None:
-    """What changed between two kept inventories."""
+    """What changed between two kept inventories; every key is kept below ``--out`` if that is given."""
     changes = ops.inventory_diff(read_inventory(spark, args.a), read_inventory(spark, args.b))
+    if args.out:
+        ops.save_table(changes, args.out)
+        changes = spark.read.schema(changes.schema).parquet(args.out)
     changes.groupBy("change").count().show()
     changes.orderBy("change", "key").show(args.show, truncate=False)
 
@@ -87,8 +108,16 @@ def parser() -> argparse.ArgumentParser:
     sub = job(ingest, "bootstrap", "raw", "quarantine", "checkpoints")
     sub.add_argument("--topic", default="stock-ticks")
     sub.add_argument("--allow-data-loss", action="store_true")
-    sub = job(compact, "raw", "compacted", "partitions", "snapshots")
+    sub.add_argument("--starting-offsets", default="latest")
+    sub.add_argument("--max-offsets", type=int, help="most messages of a batch")
+    sub.add_argument("--trigger", default=TRIGGER)
+    sub.add_argument("--spread", type=int, help="tasks that share an hour of a backfill")
+    sub = job(compact, "raw", "compacted", "snapshots")
+    sub.add_argument("--partitions", help="hours to compact; without it, those of the run's day")
+    sub.add_argument("--run-date", type=dt.date.fromisoformat, help="the run's day, if not today in UTC")
     sub.add_argument("--num-files", type=int, default=1)
+    sub.add_argument("--max-file-bytes", type=int, default=MAX_FILE_BYTES)
+    sub.add_argument("--report", help="where to keep the report and the failures")
     sub.add_argument("--min-reduction-pct", type=float, default=0.0)
     sub.add_argument("--per-partition", action="store_true")
     sub.add_argument("--strict", action="store_true")
@@ -99,7 +128,9 @@ def parser() -> argparse.ArgumentParser:
     sub = job(inventory, "root")
     sub.add_argument("--out")
     sub.add_argument("--show-top", type=int, default=5)
-    job(diff, "a", "b").add_argument("--show", type=int, default=100)
+    sub = job(diff, "a", "b")
+    sub.add_argument("--show", type=int, default=100)
+    sub.add_argument("--out")
     return top
 
 

@@ -34,8 +34,9 @@ _FILES_SCHEMA = T.StructType(
     ]
 )
 _COUNTS = [f"{count}_{side}" for side in ("before", "after") for count in _STATS]
+_NUMBERS = ["files_wanted", *_COUNTS]
 _REPORT_SCHEMA = ", ".join(
-    ["partition string, status string, message string", *[f"{name} bigint" for name in _COUNTS]]
+    ["partition string, status string, message string", *[f"{name} bigint" for name in _NUMBERS]]
 )
 
 # A job that Spark aborts surfaces as the second kind.
@@ -109,7 +110,8 @@ def compact_partitions(
     that fails are the specs tried one by one, so a damaged partition does not hold up the others.
 
     Returns one row per compacted hour plus one per spec that selected nothing or failed:
-    ``partition, status, message, files/bytes/rows before and after``. ``status`` is
+    ``partition, status, message, files_wanted, files/bytes/rows before and after``. An hour with
+    fewer rows than ``files_wanted`` gets fewer files. ``status`` is
     ``compacted``, ``row_mismatch``, ``missing`` or ``failed``.
     """
     report = run_compaction(spark, raw, compacted, specs, num_files, max_file_bytes, schema).report
@@ -200,8 +202,7 @@ def _compact(
     after = stage(
         partition_files_at(spark, compacted, partition_predicate(specs), schema), "compaction-after"
     )
-    hours = partition_stats(before)
-    report = _report(hours, partition_stats(after)).unionByName(_missing_report(spark, hours, specs))
+    report = _report(sized, partition_stats(after)).unionByName(_missing_report(spark, sized, specs))
     return Compaction(report, before, after)
 
 
@@ -237,9 +238,10 @@ def _partition_label() -> Column:
 
 
 def _report(before: DataFrame, after: DataFrame) -> DataFrame:
+    wanted = F.col("_files").cast("bigint").alias("files_wanted")
     sides = [
-        stats.select(*PARTITION_COLS, *[F.col(c).alias(f"{c}_{side}") for c in _STATS])
-        for stats, side in ((before, "before"), (after, "after"))
+        stats.select(*PARTITION_COLS, *extra, *[F.col(c).alias(f"{c}_{side}") for c in _STATS])
+        for stats, side, extra in ((before, "before", [wanted]), (after, "after", []))
     ]
     joined = sides[0].join(sides[1], list(PARTITION_COLS), "left")
     whole = F.col("rows_before") == F.coalesce("rows_after", F.lit(0))
@@ -247,6 +249,7 @@ def _report(before: DataFrame, after: DataFrame) -> DataFrame:
         _partition_label().alias("partition"),
         F.when(whole, "compacted").otherwise("row_mismatch").alias("status"),
         *_no_values("message"),
+        "files_wanted",
         *[F.coalesce(name, F.lit(0)).alias(name) for name in _COUNTS],
     )
 
@@ -259,7 +262,7 @@ def _missing_report(spark: SparkSession, before: DataFrame, specs: list[Spec]) -
         by_columns.setdefault(tuple(sorted(spec)), []).append(spec)
     if by_columns.pop((), None) and before.isEmpty():
         nothing = spark.createDataFrame([(ALL_HOURS,)], "partition string")
-        found = nothing.select("partition", F.lit("missing").alias("status"), *_no_values("message", *_COUNTS))
+        found = nothing.select("partition", F.lit("missing").alias("status"), *_no_values("message", *_NUMBERS))
     for columns, group in by_columns.items():
         asked = spark.createDataFrame(
             [(format_spec(spec).replace(",", "/"), *[spec[c] for c in columns]) for spec in group],
@@ -267,7 +270,7 @@ def _missing_report(spark: SparkSession, before: DataFrame, specs: list[Spec]) -
         )
         found = found.unionByName(
             asked.join(before, list(columns), "left_anti").select(
-                "partition", F.lit("missing").alias("status"), *_no_values("message", *_COUNTS)
+                "partition", F.lit("missing").alias("status"), *_no_values("message", *_NUMBERS)
             )
         )
     return found
@@ -286,7 +289,7 @@ def _failure_report(spark: SparkSession, failed: list[tuple[Spec, Exception]]) -
         for spec, error in failed
     ]
     return spark.createDataFrame(rows, "partition string, status string, message string").select(
-        "*", *_no_values(*_COUNTS)
+        "*", *_no_values(*_NUMBERS)
     )
 
 

@@ -140,7 +140,8 @@ class CompactionCheckFailed(AssertionError):
 
 
 def require_compaction(failures: DataFrame, shown: int = 20) -> None:
-    """Raise if ``failures`` has rows; the message names the first few."""
+    """Raise if ``failures`` has rows; the message counts them and names the first few."""
     rows = failures.limit(shown).collect()
     if rows:
-        raise CompactionCheckFailed("; ".join(str(row.asDict()) for row in rows))
+        named = "; ".join(str(row.asDict()) for row in rows)
+        raise CompactionCheckFailed(f"{failures.count()} failures: {named}")

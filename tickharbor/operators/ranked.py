@@ -55,15 +55,18 @@ def preview(ticks: DataFrame, n: int = 20, order_by: Sequence[str | Column] = ()
 
 
 def ticker_tail(
-    ticks: DataFrame, n: int = 20, ticker: str | None = None, splits: int = 16
+    ticks: DataFrame, n: int = 20, ticker: str | None = None, splits: int | None = None
 ) -> DataFrame:
     """The newest ``n`` rows of every ticker (or of one), with ``rank`` 1 for the newest.
 
     Two rounds. The first ranks within (ticker, split), where a split is a set of whole input
     tasks: every task sends at most ``n`` rows per ticker, and those of one ticker go to
-    ``splits`` places. The second ranks what is left, at most ``n * splits`` rows per ticker.
-    A ticker with a third of all rows therefore never meets in one task, for any ``n``.
+    ``splits`` places (as many as there are shuffle partitions, if not given). The second ranks what
+    is left, at most ``n * splits`` rows per ticker. A ticker with a third of all rows therefore never
+    meets in one task; for ``n`` over 1,000 that takes the limit threshold of :func:`build_session`.
     """
+    if splits is None:
+        splits = int(ticks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chosen = ticks if ticker is None else ticks.where(F.col("ticker") == ticker)
     order = [F.desc_nulls_last("ts"), *_newest_first(ticks)[2:]]
     split = F.pmod(F.spark_partition_id(), F.lit(splits))

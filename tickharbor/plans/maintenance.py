@@ -27,6 +27,12 @@ class VerifiedCompaction:
     after: DataFrame
     failures: DataFrame
 
+    def require(self) -> None:
+        """Raise unless every selected hour was compacted and met its target."""
+        unfinished = self.report.where(F.col("status") != "compacted")
+        require_compaction(unfinished.select("partition", "status", "message"))
+        require_compaction(self.failures)
+
 
 def compact_and_verify(
     spark: SparkSession,
@@ -52,11 +58,10 @@ def compact_and_verify(
     before = _snapshot(spark, run.before, raw, f"{snapshots}/before")
     after = _snapshot(spark, run.after, compacted, f"{snapshots}/after")
     failures = assert_compaction(before, after, min_pct, per_partition, strict)
+    done = VerifiedCompaction(run.report, before, after, failures)
     if raise_on_failure:
-        unfinished = run.report.where(F.col("status") != "compacted")
-        require_compaction(unfinished.select("partition", "status", "message"))
-        require_compaction(failures)
-    return VerifiedCompaction(run.report, before, after, failures)
+        done.require()
+    return done
 
 
 def _snapshot(spark: SparkSession, files: DataFrame, root: str, path: str) -> DataFrame:

@@ -111,6 +111,10 @@ ORACLES: dict[str, str] = {
         SELECT {_COLUMNS}, CAST(row_number() OVER (
                  PARTITION BY ticker ORDER BY ts DESC, price DESC, volume DESC) AS INTEGER) AS rank
         FROM ticks WHERE ticker = 'purchase' QUALIFY rank <= 20""",
+    "ticker_tail_long": f"""WITH {_TICKS}
+        SELECT {_COLUMNS}, CAST(row_number() OVER (
+                 PARTITION BY ticker ORDER BY ts DESC, price DESC, volume DESC) AS INTEGER) AS rank
+        FROM ticks QUALIFY rank <= 5000""",
     "price_bands": f"""WITH {_TICKS}
         SELECT {_COLUMNS}, round(avg(price) OVER (PARTITION BY ticker), 6) AS avg_price,
                min(price) OVER (PARTITION BY ticker) AS min_price,
@@ -183,6 +187,19 @@ ORACLES: dict[str, str] = {
     "compaction_check_by_day": f"WITH {_REDUCTION} SELECT * FROM r WHERE reduction_pct < 50",
     "compaction_check_strict": f"""WITH {_REDUCTION}
         SELECT * FROM r WHERE reduction_pct < 0 OR files_after >= files_before""",
+    "compaction_check_overall": f"""WITH {_FILES}, n AS (
+        SELECT count(*) FILTER (WHERE o_orderstatus <> 'P') AS files_before,
+               count(*) FILTER (WHERE o_orderstatus = 'O') AS files_after FROM files),
+        r AS (SELECT 'all' AS label, files_before, files_after,
+                     round(CAST(files_before - files_after AS DOUBLE) / files_before * 100, 6) AS reduction_pct
+              FROM n)
+        SELECT * FROM r WHERE reduction_pct < 75""",
+    "compaction_check_overall_strict": f"""WITH {_FILES}, n AS (
+        SELECT count(*) FILTER (WHERE o_orderstatus = 'O') AS files_before,
+               count(*) FILTER (WHERE o_orderstatus <> 'P') AS files_after FROM files)
+        SELECT 'all' AS label, files_before, files_after,
+               round(CAST(files_before - files_after AS DOUBLE) / files_before * 100, 6) AS reduction_pct
+        FROM n WHERE files_after >= files_before""",
     # lakes
     "lake_scan": f"WITH {_TICKS} SELECT {_COLUMNS} FROM ticks",
     "lake_partitions": f"""WITH {_TICKS}
@@ -206,6 +223,11 @@ ORACLES: dict[str, str] = {
                'compacted' AS status, n_rows AS rows_before, n_rows AS rows_after,
                n_files AS files_before, CAST(1 AS BIGINT) AS files_after FROM hours
         UNION ALL SELECT 'year=2024/month=13', 'missing', NULL, NULL, NULL, NULL""",
+    "compaction_many_files": f"""WITH {_HOURS}
+        SELECT 'year=' || year || '/month=' || month || '/day=' || day || '/hour=' || hour AS partition,
+               'compacted' AS status, n_rows AS rows_before, n_rows AS rows_after,
+               CAST(3 AS BIGINT) AS files_wanted, true AS within FROM hours""",
+    "compaction_hot_hour": f"WITH {_TICKS} SELECT {_COLUMNS} FROM ticks",
     "compacted_rows": f"WITH {_TICKS} SELECT {_COLUMNS} FROM ticks",
     "verified_compaction": f"""WITH {_HOURS}, d AS (
         SELECT 'year=' || year || '/month=' || month || '/day=' || day AS label,

@@ -310,6 +310,11 @@ def ticker_tail_selected(spark, sf_dir):
     return ops.ticker_tail(ticks_of(spark, sf_dir), 20, TICKER)
 
 
+@query
+def ticker_tail_long(spark, sf_dir):
+    return ops.ticker_tail(ticks_of(spark, sf_dir), 5_000)
+
+
 @query
 def price_bands(spark, sf_dir):
     return ops.price_bands(ticks_of(spark, sf_dir))
@@ -485,6 +490,17 @@ def compaction_check_strict(spark, sf_dir):
     )
 
 
+@query
+def compaction_check_overall(spark, sf_dir):
+    return ops.assert_compaction(files_before(spark, sf_dir), files_kept(spark, sf_dir), min_pct=75.0)
+
+
+@query
+def compaction_check_overall_strict(spark, sf_dir):
+    """More files after than before: the strict target is missed."""
+    return ops.assert_compaction(files_kept(spark, sf_dir), files_before(spark, sf_dir), strict=True)
+
+
 # ---- lakes ------------------------------------------------------------------------------------
 
 
@@ -536,6 +552,28 @@ def compaction_report(spark, sf_dir):
     )
 
 
+@query
+def compaction_many_files(spark, sf_dir):
+    """Every hour into three files, as far as it has rows for them."""
+    report = ops.compact_partitions(
+        spark, raw_lake(spark, sf_dir), scratch_path(spark, "compacted"), ALL_HOURS, num_files=3
+    )
+    return report.select(
+        "partition", "status", "rows_before", "rows_after", "files_wanted",
+        (F.col("files_after") <= F.col("files_wanted")).alias("within"),
+    )
+
+
+@query
+def compaction_hot_hour(spark, sf_dir):
+    """Every hour holds more than a file may: each is split, and no row is lost."""
+    path = scratch_path(spark, "compacted")
+    ops.compact_partitions(
+        spark, raw_lake(spark, sf_dir), path, ALL_HOURS, max_file_bytes=512, raise_on_failure=True
+    )
+    return read_ticks(spark, path, LAKE_SCHEMA)
+
+
 @query
 def compacted_rows(spark, sf_dir):
     return read_ticks(spark, compacted_lake(spark, sf_dir), LAKE_SCHEMA)
