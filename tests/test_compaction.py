@@ -160,6 +160,45 @@ def test_missing_and_failed_specs_are_reported_and_raised(spark, roots):
         compact_partitions(spark, raw, compacted, specs, raise_on_failure=True)
 
 
+@pytest.mark.parametrize("spec", ["year=2025,month=8", "all", "hour=2;hour=1"])
+def test_a_damaged_file_holds_up_its_hour_only(spark, roots, spec):
+    raw, compacted = roots
+    append(ticks(spark, hour_rows(7, 5)).repartition(1), raw)
+    whole = next(Path(raw).rglob("hour=2/*.parquet"))
+    whole.write_bytes(b"PAR1 this is not a Parquet file PAR1")
+    whole.with_name(f".{whole.name}.crc").unlink(missing_ok=True)
+    report = {r.partition[-6:]: r for r in compact_partitions(spark, raw, compacted, spec).collect()}
+    assert report["hour=2"].status == "failed" and whole.name in report["hour=2"].message
+    assert report["hour=1"].status == "compacted"
+    assert ("hour=7" in report) == ("hour=1" not in spec)
+    assert all(r.status == "compacted" for hour, r in report.items() if hour != "hour=2")
+    assert not list(Path(compacted).rglob("hour=2"))
+
+
+@pytest.mark.parametrize("max_file_bytes", [1 << 30, 700])
+def test_rows_without_a_time_are_compacted_too(spark, roots, max_file_bytes):
+    raw, compacted = roots
+    append(ticks(spark, [("X", 1.0, 1, None)] * 300), raw)
+    assert hours_needing_compaction(spark, raw, compacted).where("hour IS NULL AND raw_rows = 300").count() == 1
+    report = compact_partitions(spark, raw, compacted, "all", max_file_bytes=max_file_bytes).collect()
+    assert sorted((r.status, r.rows_after) for r in report) == [("compacted", 6), ("compacted", 6), ("compacted", 300)]
+    assert compacted_rows(spark, compacted) == bag(read_ticks(spark, raw, LAKE_SCHEMA), *COLUMNS)
+    assert hours_needing_compaction(spark, raw, compacted).count() == 0
+
+
+def test_a_file_with_a_damaged_body_is_found(spark, roots):
+    raw, compacted = roots
+    append(ticks(spark, hour_rows(7, 60)).repartition(1), raw)
+    file = next(Path(raw).rglob("hour=7/*.parquet"))
+    file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    data = bytearray(file.read_bytes())
+    data[4 : len(data) // 2] = bytes(len(data) // 2 - 4)
+    file.write_bytes(data)
+    report = {r.partition[-6:]: r for r in compact_partitions(spark, raw, compacted, DAY).collect()}
+    assert report["hour=7"].status == "failed" and file.name in report["hour=7"].message
+    assert report["hour=1"].status == report["hour=2"].status == "compacted"
+
+
 def test_missing_raw_root_is_a_failure(spark, base):
     report = compact_partitions(spark, f"{base}/none", f"{base}/compacted", DAY).collect()
     assert [r.status for r in report] == ["failed"]

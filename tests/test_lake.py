@@ -135,3 +135,17 @@ def test_gathered_writes_bound_the_files_of_a_hot_partition(spark, base):
     assert bag(read_ticks(spark, f"{base}/spread")) == bag(df)
     plain, spread = data_files(f"{base}/plain"), data_files(f"{base}/spread")
     assert max(plain.values()) > 30 and 1 < max(spread.values()) <= 3
+
+
+def test_only_selected_directories_are_listed(spark, lake):
+    def listed(specs):
+        files = read_partitions(spark, lake, specs, LAKE_SCHEMA).inputFiles()
+        return {f.split("/hour=")[0][-6:] + f.split("/hour=")[1].split("/")[0] for f in files}
+
+    every = read_ticks(spark, lake, LAKE_SCHEMA)
+    hour = every.select("year", "month", "day", "hour").where("hour IS NOT NULL").first().asDict()
+    assert len(listed(hour)) == 1
+    for specs in (hour, [hour, {"year": hour["year"]}], {"hour": hour["hour"]}, {"year": 1900}, {}):
+        chosen = [specs] if isinstance(specs, dict) else specs
+        want = sum(all(r[k] == v for k, v in chosen[-1].items()) for r in every.collect())
+        assert read_partitions(spark, lake, specs, LAKE_SCHEMA).count() == want

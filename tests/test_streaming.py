@@ -12,11 +12,12 @@ from tickharbor.streaming import (
     ingest_ticks,
     latest_ticks_stream,
     read_latest_ticks,
+    read_window_stats,
     windowed_ticker_stats,
     write_tick_stream,
     write_window_stats,
 )
-from tickharbor.streaming.snapshots import read_newest_snapshot, write_snapshot
+from tickharbor.streaming.snapshots import KEPT, read_newest_snapshot, write_snapshot
 
 from .helpers import bag, data_files
 
@@ -35,14 +36,13 @@ def tick(second, ticker="AAPL", price=1.0):
 
 
 def run_ingest(spark, base):
-    for query in ingest_ticks(
+    ingest_ticks(
         tick_source(spark, "files", path=f"{base}/inbox", max_files_per_trigger=1),
         f"{base}/raw",
         f"{base}/quarantine",
         f"{base}/checkpoints",
         available_now=True,
-    ):
-        query.awaitTermination()
+    ).awaitTermination()
 
 
 def test_restarts_lose_and_repeat_nothing(spark, base):
@@ -55,9 +55,27 @@ def test_restarts_lose_and_repeat_nothing(spark, base):
     messages = spark.read.text(f"{base}/inbox")
     batch = with_time_partitions(parse_ticks(messages)).where("price IS NOT NULL AND ts IS NOT NULL")
     assert bag(raw) == bag(batch) and raw.count() == 4
-    bad = spark.read.parquet(f"{base}/quarantine")
+    bad = read_ticks(spark, f"{base}/quarantine")
     assert bag(bad, "reason") == {("malformed",): 1, ("no_price",): 1, ("no_time",): 1}
-    assert set(data_files(f"{base}/raw")) == {f"year=2025/month=8/day=10/hour={h}" for h in (11, 12)}
+    assert {at.rpartition("/")[0] for at in data_files(f"{base}/raw")} == {f"year=2025/month=8/day=10/hour={h}" for h in (11, 12)}
+    assert not list(Path(base).rglob("_spark_metadata"))
+
+
+def test_a_repeated_batch_replaces_its_rows_and_another_checkpoint_does_not(spark, base):
+    drop(f"{base}/inbox", "1", tick(0), tick(4000), "garbage")
+    run_ingest(spark, base)
+    drop(f"{base}/inbox", "2", tick(1))
+    run_ingest(spark, base)
+    before = bag(read_ticks(spark, f"{base}/raw", LAKE_SCHEMA))
+    # As if the query had been lost after it wrote its last batch, before it noted that.
+    for name in ("1", ".1.crc"):
+        Path(f"{base}/checkpoints/ingest/commits/{name}").unlink()
+    run_ingest(spark, base)
+    assert bag(read_ticks(spark, f"{base}/raw", LAKE_SCHEMA)) == before and sum(before.values()) == 3
+    assert read_ticks(spark, f"{base}/quarantine").count() == 1
+    again = with_time_partitions(parse_ticks(tick_source(spark, "files", path=f"{base}/inbox"))).where("ts IS NOT NULL")
+    write_tick_stream(again, f"{base}/raw", f"{base}/other", available_now=True).awaitTermination()
+    assert read_ticks(spark, f"{base}/raw", LAKE_SCHEMA).count() == 6
 
 
 def test_late_rows_go_to_their_own_hour_and_compaction_follows(spark, base):
@@ -81,7 +99,7 @@ def test_unpartitioned_sink(spark, base):
     write_tick_stream(
         parsed, f"{base}/out", f"{base}/ckpt", partition_cols=(), available_now=True, query_name="flat"
     ).awaitTermination()
-    assert bag(spark.read.parquet(f"{base}/out"), "ticker", "timestamp") == {
+    assert bag(read_ticks(spark, f"{base}/out"), "ticker", "timestamp") == {
         ("AAPL", float(START)): 1,
         (None, None): 1,
     }
@@ -126,7 +144,16 @@ def test_complete_mode_keeps_every_window(spark, base):
     )
     assert bag(read_newest_snapshot(spark, f"{base}/out")) == bag(batch)
     with pytest.raises(ValueError):
-        write_window_stats(stats, f"{base}/x", f"{base}/y", "update")
+        write_window_stats(stats, f"{base}/x", f"{base}/y", "replace")
+
+
+def test_update_mode_shows_open_windows(spark, base):
+    drop(f"{base}/inbox", "1", tick(0, price=1.0), tick(4000, price=5.0), tick(10, None, 2.0))
+    drop(f"{base}/inbox", "2", tick(30, price=3.0))
+    stats = windowed_ticker_stats(streamed_ticks(spark, base), "1 hour", watermark="2 hours")
+    write_window_stats(stats, f"{base}/out", f"{base}/ckpt", "update", available_now=True).awaitTermination()
+    batch = windowed_ticker_stats(with_time_partitions(parse_ticks(spark.read.text(f"{base}/inbox"))), "1 hour")
+    assert bag(read_window_stats(spark, f"{base}/out")) == bag(batch) and batch.count() == 3
 
 
 def test_newest_rows_follow_the_stream(spark, base):
@@ -153,6 +180,20 @@ def test_a_repeated_batch_leaves_the_same_snapshot(spark, base):
     assert read_newest_snapshot(spark, base).count() == 3
 
 
+def test_snapshots_are_readable_while_others_are_written(spark, base):
+    with pytest.raises(FileNotFoundError):
+        read_newest_snapshot(spark, base)
+    write_snapshot(spark.range(5), base, 0)
+    reader = read_newest_snapshot(spark, base)
+    for batch_id in range(1, KEPT):
+        write_snapshot(spark.range(batch_id), base, batch_id)
+    assert reader.count() == 5
+    Path(f"{base}/batch={KEPT + 3}").mkdir()  # begun, not complete
+    assert read_newest_snapshot(spark, base).count() == KEPT - 1
+    write_snapshot(spark.range(1), base, KEPT)
+    assert not Path(f"{base}/batch=0").exists() and Path(f"{base}/batch=1").exists()
+
+
 def test_kafka_options():
     assert kafka_options("broker:9092") == {
         "kafka.bootstrap.servers": "broker:9092",

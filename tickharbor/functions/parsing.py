@@ -49,6 +49,11 @@ def split_bad_ticks(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame
     reason that applies: ``malformed`` (not a JSON object, or a field of the wrong type),
     ``no_ticker``, ``no_price`` (missing or NaN), ``no_time`` (missing or not a valid instant).
     """
+    return split_judged(judge_messages(raw, value_col))
+
+
+def judge_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """``message, tick, reason`` of every message; no reason for the good ones."""
     text = F.col(value_col).cast("string")
     checked_schema = T.StructType([*TICK_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
     tick = F.from_json(text, checked_schema, {"columnNameOfCorruptRecord": _CORRUPT})
@@ -63,7 +68,11 @@ def split_bad_ticks(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame
         .when(F.col("tick.price").isNull() | F.isnan("tick.price"), "no_price")
         .when(ts.isNull(), "no_time")
     )
-    judged = parsed.withColumn("reason", reason)
+    return parsed.withColumn("reason", reason)
+
+
+def split_judged(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two sides of :func:`split_bad_ticks`."""
     good = judged.where(F.col("reason").isNull()).select(
         *[F.col(f"tick.{name}").alias(name) for name in TICK_SCHEMA.fieldNames()]
     )

@@ -8,7 +8,6 @@ again gives the same table, and late rows are picked up by compacting their hour
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -16,10 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.partitions import ALL_HOURS, Spec, Specs, as_specs, format_spec, partition_predicate
+from ..functions.partitions import ALL_HOURS, Spec, Specs, as_specs, format_spec, hour_key
 from ..schema import INVENTORY_SCHEMA, LAKE_SCHEMA, PARTITION_COLS
 from ..scratch import stage
-from ..sources.lake import path_is_missing, read_partitions, read_ticks
+from ..sources.lake import load_partitions, path_is_missing, read_partitions
 
 # Raw data that one write task takes before another task is worth its start-up.
 TASK_BYTES = 128 << 20
@@ -70,17 +69,40 @@ def partition_files(table: DataFrame) -> DataFrame:
 
 
 def partition_files_at(
-    spark: SparkSession, root: str, selected: Column, schema: T.StructType = LAKE_SCHEMA
+    spark: SparkSession, root: str, specs: Specs, schema: T.StructType = LAKE_SCHEMA
 ) -> DataFrame:
     """:func:`partition_files` of the selected part of a root; a missing root has no files."""
     try:
-        return partition_files(read_ticks(spark, root, schema).where(selected))
+        return partition_files(read_partitions(spark, root, specs, schema))
     except AnalysisException as error:
         if not path_is_missing(error):
             raise
         return spark.createDataFrame([], _FILES_SCHEMA)
 
 
+def damaged_files(
+    spark: SparkSession, root: str, specs: Specs, schema: T.StructType = LAKE_SCHEMA
+) -> DataFrame:
+    """``year, month, day, hour, key`` of the selected files that cannot be read whole.
+
+    Every column of every file is read, and what a file gave up is compared with the row count in its
+    footer; a file without a readable footer has none, nor has one without rows.
+    """
+    chosen = as_specs(specs)
+    listing = load_partitions(
+        spark, spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet"), root, chosen
+    ).select(*[F.col(name).cast("int") for name in PARTITION_COLS], F.col("_metadata.file_path").alias("key"))
+    lenient = spark.read.schema(schema).option("ignoreCorruptFiles", "true").format("parquet")
+    ticks = load_partitions(spark, lenient, root, chosen)
+    data = [name for name in schema.fieldNames() if name not in PARTITION_COLS]
+    read = ticks.groupBy(F.col("_metadata.file_path").alias("key")).agg(
+        F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(*data)).alias("content")
+    )
+    # The digest makes the scan read all columns; it is never missing where there is a row.
+    intact = partition_files(ticks).select("key", "rows").join(read.where("content IS NOT NULL"), ["key", "rows"])
+    return listing.join(intact, "key", "left_anti").select(*PARTITION_COLS, "key")
+
+
 def partition_stats(files: DataFrame) -> DataFrame:
     """Files, bytes and rows per hour directory."""
     return (
@@ -106,8 +128,9 @@ def compact_partitions(
     """Rewrite the selected hours of ``raw`` into ``compacted`` with ``num_files`` files each.
 
     An hour with more than ``num_files * max_file_bytes`` of raw data gets as many more files
-    as that takes, so a hot hour is written by many tasks. All hours go through one job; only if
-    that fails are the specs tried one by one, so a damaged partition does not hold up the others.
+    as that takes, so a hot hour is written by many tasks. All hours go through one job. If that
+    fails, one more job looks for damaged files; their hours are reported as failed, with the file's
+    name, and all others go through one job again.
 
     Returns one row per compacted hour plus one per spec that selected nothing or failed:
     ``partition, status, message, files_wanted, files/bytes/rows before and after``. An hour with
@@ -135,35 +158,23 @@ def run_compaction(
     if num_files < 1 or max_file_bytes < 1:
         raise ValueError("num_files and max_file_bytes must be positive")
 
-    def attempt(chosen: list[Spec]) -> Compaction:
-        return _compact(spark, raw, compacted, num_files, max_file_bytes, schema, chosen)
+    def attempt(damaged: DataFrame | None = None) -> Compaction:
+        return _compact(spark, raw, compacted, num_files, max_file_bytes, schema, wanted, damaged)
 
-    wanted, done, failed = as_specs(specs), [], []
+    wanted, no_files = as_specs(specs), spark.createDataFrame([], _FILES_SCHEMA)
+    if not wanted:
+        return Compaction(_failure_report(spark, []), no_files, no_files)
     try:
-        if wanted:
-            done.append(attempt(wanted))
+        return attempt()
     except _SPARK_ERRORS as error:
-        for spec in wanted:
-            try:
-                if len(wanted) == 1:
-                    raise error
-                done.append(attempt([spec]))
-            except _SPARK_ERRORS as single:
-                failed.append((spec, single))
-
-    if len(done) == 1 and not failed:
-        return done[0]
-    no_files = spark.createDataFrame([], _FILES_SCHEMA)
-    # Overlapping specs that were compacted one by one list the same hours and files.
-    return Compaction(
-        _together([_failure_report(spark, failed), *[d.report for d in done]], "partition"),
-        _together([no_files, *[d.before for d in done]], "key"),
-        _together([no_files, *[d.after for d in done]], "key"),
-    )
-
-
-def _together(parts: list[DataFrame], key: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts).dropDuplicates([key])
+        cause = error
+    try:
+        damaged = stage(damaged_files(spark, raw, wanted, schema), "compaction-damaged")
+        if not damaged.isEmpty():
+            return attempt(damaged)
+    except _SPARK_ERRORS as error:
+        cause = error
+    return Compaction(_failure_report(spark, [(spec, cause) for spec in wanted]), no_files, no_files)
 
 
 def _compact(
@@ -174,10 +185,15 @@ def _compact(
     max_file_bytes: int,
     schema: T.StructType,
     specs: list[Spec],
+    damaged: DataFrame | None,
 ) -> Compaction:
     # One listing of raw serves the file list and the rewrite: files that the stream adds
     # meanwhile belong to neither. Both lists are staged, since a later run may replace the files.
     source = read_partitions(spark, raw, specs, schema)
+    if damaged is not None:
+        # One number per damaged hour comes to the driver, and keeps its directory from being read.
+        hours = [row.hour_key for row in damaged.select(hour_key().alias("hour_key")).distinct().collect()]
+        source = source.where(~hour_key().isin(hours))
     before = stage(partition_files(source), "compaction-before")
 
     n_files = F.greatest(F.lit(num_files), F.ceil(F.col("bytes") / max_file_bytes)).cast("int")
@@ -195,15 +211,18 @@ def _compact(
         if total.most == num_files:
             placed = placed.withColumn("_files", F.lit(num_files))
         else:
-            hot = stage(sized.select(*PARTITION_COLS, "_files"), "compaction-sizes")
-            placed = placed.join(hot, list(PARTITION_COLS))
+            hot = stage(sized.select(hour_key().alias("_hour"), "_files"), "compaction-sizes")
+            placed = placed.withColumn("_hour", hour_key()).join(hot, "_hour")
         _write(placed, compacted, tasks, schema)
 
-    after = stage(
-        partition_files_at(spark, compacted, partition_predicate(specs), schema), "compaction-after"
-    )
-    report = _report(sized, partition_stats(after)).unionByName(_missing_report(spark, sized, specs))
-    return Compaction(report, before, after)
+    after = stage(partition_files_at(spark, compacted, specs, schema), "compaction-after")
+    report, found = _report(sized, partition_stats(after)), sized.select(*PARTITION_COLS)
+    if damaged is not None:
+        report = report.unionByName(_damage_report(damaged))
+        found = found.unionByName(damaged.select(*PARTITION_COLS))
+        # Without what an earlier run left of the damaged hours.
+        after = after.where(~hour_key().isin(hours))
+    return Compaction(report.unionByName(_missing_report(spark, found, specs)), before, after)
 
 
 def _write(placed: DataFrame, compacted: str, tasks: int, schema: T.StructType) -> None:
@@ -233,17 +252,18 @@ def _write(placed: DataFrame, compacted: str, tasks: int, schema: T.StructType)
 
 def _partition_label() -> Column:
     return F.concat_ws(
-        "/", *[F.concat(F.lit(f"{name}="), F.col(name).cast("string")) for name in PARTITION_COLS]
+        "/",
+        *[F.concat(F.lit(f"{name}="), F.coalesce(F.col(name).cast("string"), F.lit("null"))) for name in PARTITION_COLS],
     )
 
 
 def _report(before: DataFrame, after: DataFrame) -> DataFrame:
     wanted = F.col("_files").cast("bigint").alias("files_wanted")
     sides = [
-        stats.select(*PARTITION_COLS, *extra, *[F.col(c).alias(f"{c}_{side}") for c in _STATS])
-        for stats, side, extra in ((before, "before", [wanted]), (after, "after", []))
+        stats.select(hour_key().alias("hour_key"), *extra, *[F.col(c).alias(f"{c}_{side}") for c in _STATS])
+        for stats, side, extra in ((before, "before", [*PARTITION_COLS, wanted]), (after, "after", []))
     ]
-    joined = sides[0].join(sides[1], list(PARTITION_COLS), "left")
+    joined = sides[0].join(sides[1], "hour_key", "left")  # rows without a time have a key too
     whole = F.col("rows_before") == F.coalesce("rows_after", F.lit(0))
     return joined.select(
         _partition_label().alias("partition"),
@@ -283,6 +303,16 @@ def _cause(error: Exception) -> str:
     return (causes[-1:] or lines or [type(error).__name__])[0]
 
 
+def _damage_report(damaged: DataFrame) -> DataFrame:
+    n_files = F.count(F.lit(1)).cast("string")
+    message = F.concat(n_files, F.lit(" unreadable files, the first of them "), F.min("key"))
+    return (
+        damaged.groupBy(*PARTITION_COLS)
+        .agg(message.alias("message"))
+        .select(_partition_label().alias("partition"), F.lit("failed").alias("status"), "message", *_no_values(*_NUMBERS))
+    )
+
+
 def _failure_report(spark: SparkSession, failed: list[tuple[Spec, Exception]]) -> DataFrame:
     rows = [
         (format_spec(spec).replace(",", "/"), "failed", _cause(error))

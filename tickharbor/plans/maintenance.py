@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.partitions import Specs, as_specs, hour_key, partition_predicate
+from ..functions.partitions import Specs, hour_key
 from ..operators.compaction import MAX_FILE_BYTES, run_compaction
 from ..operators.inventory import assert_compaction, require_compaction
 from ..operators.sinks import save_inventory
 from ..schema import LAKE_SCHEMA
 from ..scratch import stage
 from ..sources.inventory import read_inventory
-from ..sources.lake import read_ticks, read_ticks_or_empty
+from ..sources.lake import read_partitions, read_partitions_or_empty, read_ticks, read_ticks_or_empty
 
 
 @dataclass(frozen=True)
@@ -85,11 +85,9 @@ def _raw_against_compacted(raw: DataFrame, compacted: DataFrame) -> DataFrame:
 def _both_roots(
     spark: SparkSession, raw: str, compacted: str, specs: Specs | None, schema: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
-    tables = read_ticks(spark, raw, schema), read_ticks_or_empty(spark, compacted, schema)
     if specs is None:
-        return tables
-    selected = partition_predicate(as_specs(specs))
-    return tables[0].where(selected), tables[1].where(selected)
+        return read_ticks(spark, raw, schema), read_ticks_or_empty(spark, compacted, schema)
+    return read_partitions(spark, raw, specs, schema), read_partitions_or_empty(spark, compacted, specs, schema)
 
 
 def tick_view(
@@ -123,11 +121,14 @@ def hours_needing_compaction(
     specs: Specs | None = None,
     schema: T.StructType = LAKE_SCHEMA,
 ) -> DataFrame:
-    """Raw hours (of ``specs``, or all) whose row count differs from that of their compacted copy."""
+    """Raw hours (of ``specs``, or all) whose row count differs from that of their compacted copy.
+
+    Rows without a time are one more hour, of NULLs, which only the spec ``all`` selects.
+    """
     key = F.col("hour_key")
     stale = _raw_against_compacted(*_both_roots(spark, raw, compacted, specs, schema)).where(
-        "raw_rows <> compacted_rows AND hour_key >= 0"
-    )
+        "raw_rows <> compacted_rows"
+    ).withColumn("hour_key", F.when(key >= 0, key))
     return stale.select(
         F.floor(key / 1_000_000).cast("int").alias("year"),
         F.pmod(F.floor(key / 10_000), F.lit(100)).cast("int").alias("month"),

@@ -272,6 +272,10 @@ ORACLES: dict[str, str] = {
         SELECT date_trunc('hour', ts) AS window_start,
                date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, {_WINDOW}
         FROM ticks GROUP BY 1, 2, ticker""",
+    "windowed_stats_update_stream": f"""WITH {_TICKS}
+        SELECT date_trunc('hour', ts) AS window_start,
+               date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, {_WINDOW}
+        FROM ticks GROUP BY 1, 2, ticker""",
     "latest_ticks_stream": f"WITH {_TICKS} SELECT {_COLUMNS} FROM ticks ORDER BY {_NEWEST} LIMIT 5",
     "saved_summary": f"""WITH {_TICKS}
         SELECT ticker, count(*) AS total_records, round(avg(price), 6) AS avg_price,

@@ -655,7 +655,7 @@ def tick_stream_roundtrip(spark, sf_dir):
     """Messages through the streaming ingest into an hour-partitioned table."""
     root = scratch_path(spark, "stream")
     finish(
-        *streaming.ingest_ticks(
+        streaming.ingest_ticks(
             events_as_messages(event_stream(spark, sf_dir)),
             f"{root}/raw", f"{root}/quarantine", f"{root}/checkpoints",
             available_now=True, spread=SPREAD,
@@ -700,14 +700,14 @@ def quarantine_stream(spark, sf_dir):
     """Damaged messages through the same ingest: counts of both sides."""
     root = scratch_path(spark, "stream")
     finish(
-        *streaming.ingest_ticks(
+        streaming.ingest_ticks(
             drifting_messages(event_stream(spark, sf_dir)),
             f"{root}/raw", f"{root}/quarantine", f"{root}/checkpoints",
             available_now=True, spread=SPREAD,
         )
     )
     good = read_ticks(spark, f"{root}/raw", LAKE_SCHEMA).select(F.lit("good").alias("outcome"))
-    bad = spark.read.parquet(f"{root}/quarantine").select(F.col("reason").alias("outcome"))
+    bad = read_ticks(spark, f"{root}/quarantine").select(F.col("reason").alias("outcome"))
     return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
@@ -720,7 +720,7 @@ def unpartitioned_stream(spark, sf_dir):
             parsed, f"{root}/table", f"{root}/checkpoint", partition_cols=(), available_now=True
         )
     )
-    return spark.read.schema(TICK_SCHEMA).parquet(f"{root}/table")
+    return read_ticks(spark, f"{root}/table", TICK_SCHEMA)
 
 
 @query
@@ -759,6 +759,21 @@ def windowed_stats_complete_stream(spark, sf_dir):
     return read_newest_snapshot(spark, f"{root}/stats")
 
 
+@query
+def windowed_stats_update_stream(spark, sf_dir):
+    """Update mode: every window, open ones too, from a state that the watermark bounds."""
+    root = scratch_path(spark, "stream")
+    stats = streaming.windowed_ticker_stats(
+        events_as_ticks(event_stream(spark, sf_dir)), "1 hour", watermark="1 hour"
+    )
+    finish(
+        streaming.write_window_stats(
+            stats, f"{root}/stats", f"{root}/checkpoint", mode="update", available_now=True
+        )
+    )
+    return streaming.read_window_stats(spark, f"{root}/stats")
+
+
 @query
 def latest_ticks_stream(spark, sf_dir):
     root = scratch_path(spark, "stream")

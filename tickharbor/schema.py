@@ -16,6 +16,9 @@ TICK_SCHEMA = T.StructType(
 PARTITION_COLS = ("year", "month", "day", "hour")
 EVENT_TIME_CANDIDATES = ("timestamp", "ts", "time", "event_time")
 
+#: Directory level of a stream's batches, below the hour.
+BATCH_COL = "ingest_batch"
+
 LAKE_SCHEMA = T.StructType(
     [
         T.StructField("ticker", T.StringType()),

@@ -6,13 +6,14 @@ import datetime as dt
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.parsing import with_time_partitions
-from ..functions.partitions import Specs, as_specs, hour_key, hour_key_of, partition_predicate
-from ..schema import TICK_SCHEMA
+from ..functions.partitions import Spec, Specs, as_specs, hour_key, hour_key_of, partition_predicate
+from ..schema import BATCH_COL, PARTITION_COLS, TICK_SCHEMA
+from .paths import matching
 
 
 def path_is_missing(error: AnalysisException) -> bool:
@@ -23,9 +24,10 @@ def read_ticks(spark: SparkSession, base: str, schema: T.StructType | None = Non
     """Scan a whole table; Hive directories become partition columns.
 
     Passing the schema (partition columns included) saves the job that reads a footer to infer it.
+    The directories of a stream's batches are no column.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(base)
+    return reader.parquet(base).drop(BATCH_COL)
 
 
 def read_ticks_or_empty(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
@@ -44,8 +46,45 @@ def read_partitions(
     specs: Specs,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Scan only the directories that the specs select."""
-    return read_ticks(spark, base, schema).where(partition_predicate(as_specs(specs)))
+    """Scan only the directories that the specs select.
+
+    Only those are listed, if each spec begins with the outermost columns (year; year and month; ...).
+    """
+    chosen = as_specs(specs)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return load_partitions(spark, reader.format("parquet"), base, chosen).drop(BATCH_COL)
+
+
+def read_partitions_or_empty(spark: SparkSession, base: str, specs: Specs, schema: T.StructType) -> DataFrame:
+    """Like :func:`read_partitions`, but a root that does not exist yet is an empty table."""
+    try:
+        return read_partitions(spark, base, specs, schema)
+    except AnalysisException as error:
+        if not path_is_missing(error):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def load_partitions(spark: SparkSession, reader: DataFrameReader, base: str, specs: list[Spec]) -> DataFrame:
+    """What the specs select of a root, in any file format."""
+    folders = _folders(spark, base, specs)
+    table = reader.option("basePath", base).load(folders) if folders else reader.load(base)
+    return table.where(partition_predicate(specs))
+
+
+def _folders(spark: SparkSession, base: str, specs: list[Spec]) -> list[str]:
+    """The directories to open; none if that takes the whole root, or if there are none."""
+    # What lies within another spec would be listed, and read, twice.
+    widest = [s for s in specs if not any(t.items() < s.items() for t in specs)]
+    found: set[str] = set()
+    for spec in widest:
+        names = PARTITION_COLS[: len(spec)]
+        if not spec or set(names) != set(spec):
+            return []
+        # Zeros in front of a number make no difference to its meaning.
+        steps = [f"{name}={{{spec[name]},{spec[name]:02d}}}" for name in names]
+        found.update(matching(spark, "/".join([base, *steps])))
+    return sorted(found)
 
 
 def read_legacy_ticks(spark: SparkSession, path: str) -> DataFrame:

@@ -1,11 +1,12 @@
 from .ingest import ingest_ticks, write_tick_stream
 from .latest import latest_ticks_stream, read_latest_ticks
-from .stats import windowed_ticker_stats, write_window_stats
+from .stats import read_window_stats, windowed_ticker_stats, write_window_stats
 
 __all__ = [
     "ingest_ticks",
     "latest_ticks_stream",
     "read_latest_ticks",
+    "read_window_stats",
     "windowed_ticker_stats",
     "write_tick_stream",
     "write_window_stats",

@@ -7,14 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.parsing import split_bad_ticks, with_time_partitions
+from ..functions.parsing import judge_messages, split_judged, with_time_partitions
 from ..operators.sinks import gather_partitions
 from ..schema import PARTITION_COLS
+from .batches import start_batches, write_batch
 
 # Fixed value: the cadence at which new files appear in the raw root.
 TRIGGER = "30 seconds"
 
 
+def _append(rows: DataFrame, path: str, batch: str, partition_cols: Sequence[str], spread: int | None) -> None:
+    if spread is not None and partition_cols:
+        rows = gather_partitions(rows, partition_cols, spread)
+    write_batch(rows, path, batch, partition_cols)
+
+
 def write_tick_stream(
     stream: DataFrame,
     path: str,
@@ -28,32 +35,23 @@ def write_tick_stream(
     """Append a stream to a Parquet table and return the running query.
 
     ``trigger=None`` starts the next batch as soon as the last one is done;
-    ``available_now`` processes what is there, in bounded batches, and stops. The file sink
-    commits each batch once in its log: after a restart from the same checkpoint nothing is
-    missing and nothing is there twice. One root takes one writer.
+    ``available_now`` processes what is there, in bounded batches, and stops. After a restart from
+    the same checkpoint nothing is missing and nothing is there twice: see ``batches``. A batch that
+    failed while its files were moved into place may show a part of its rows until it is repeated.
 
     Live data needs no shuffle before the write: it is all in the current hour, and the small
     files are what compaction is for. A backfill has many hours in each batch, and every task
     would open a file in all of them: there, ``spread`` first brings the rows of an hour into at
     most that many tasks.
     """
-    if spread is not None and partition_cols:
-        stream = gather_partitions(stream, partition_cols, spread)
-    writer = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
+    return start_batches(
+        stream,
+        checkpoint,
+        lambda rows, batch, _: _append(rows, path, batch, partition_cols, spread),
+        trigger,
+        available_now,
+        query_name=query_name,
     )
-    if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
-    if query_name:
-        writer = writer.queryName(query_name)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif trigger:
-        writer = writer.trigger(processingTime=trigger)
-    return writer.start()
 
 
 def ingest_ticks(
@@ -65,16 +63,20 @@ def ingest_ticks(
     trigger: str | None = TRIGGER,
     available_now: bool = False,
     spread: int | None = None,
-) -> tuple[StreamingQuery, StreamingQuery]:
+) -> StreamingQuery:
     """Run the whole ingest: good ticks to ``raw`` by hour, bad messages to ``quarantine``.
 
-    Two queries with a checkpoint each, so both sides keep the exactly-once file sink.
+    Each batch is read and parsed once and kept, on disk where memory is short, until both sides are
+    written; what a lost executor held of it is read again from the source.
     """
-    good, bad = split_bad_ticks(messages, value_col)
-    timing = {"trigger": trigger, "available_now": available_now}
-    return (
-        write_tick_stream(
-            with_time_partitions(good), raw, f"{checkpoints}/raw", spread=spread, **timing
-        ),
-        write_tick_stream(bad, quarantine, f"{checkpoints}/quarantine", partition_cols=(), **timing),
-    )
+
+    def both(rows: DataFrame, batch: str, _: int) -> None:
+        judged = judge_messages(rows, value_col).persist()
+        try:
+            good, bad = split_judged(judged)
+            _append(with_time_partitions(good), raw, batch, PARTITION_COLS, spread)
+            _append(bad, quarantine, batch, (), None)
+        finally:
+            judged.unpersist()
+
+    return start_batches(messages, f"{checkpoints}/ingest", both, trigger, available_now)
