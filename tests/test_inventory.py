@@ -7,10 +7,10 @@ from tickharbor.sources import file_inventory, read_inventory
 from .helpers import append, bag, ticks
 
 FILES = [
-    ("streaming-output/year=2025/month=8/day=10/hour=1/a.parquet", 1200),
-    ("streaming-output/year=2025/month=8/day=10/hour=2/b.PARQUET", 800),
-    ("streaming-output/date=2025-08-10/c.parquet", 50),
-    ("streaming-output/loose.parquet", 10),
+    ("tick-lake/year=2025/month=8/day=10/hour=1/a.parquet", 1200),
+    ("tick-lake/year=2025/month=8/day=10/hour=2/b.PARQUET", 800),
+    ("tick-lake/date=2025-08-10/c.parquet", 50),
+    ("tick-lake/loose.parquet", 10),
 ]
 
 
@@ -43,11 +43,11 @@ def test_summary(spark, files):
 
 
 def test_groups(files):
-    assert [tuple(r) for r in ops.inventory_by_group(files, "streaming-output").collect()] == [
+    assert [tuple(r) for r in ops.inventory_by_group(files, "tick-lake").collect()] == [
         ("ungrouped", 2, 60),
         ("year=2025", 2, 2000),
     ]
-    dated = ops.inventory_by_group(files, "streaming-output", accept_date=True)
+    dated = ops.inventory_by_group(files, "tick-lake", accept_date=True)
     assert [tuple(r) for r in dated.collect()] == [
         ("date=2025-08-10", 1, 50),
         ("ungrouped", 1, 10),

@@ -28,7 +28,7 @@ _DRIFT = f"""{_SENT}, drift AS (
   FROM sent)"""
 
 _FILES = """files AS (
-  SELECT 'streaming-output/' ||
+  SELECT 'tick-lake/' ||
          CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE
            'year=' || year(o_orderdate) || '/month=' || month(o_orderdate) ||
            '/day=' || day(o_orderdate) || '/' END ||
@@ -176,7 +176,7 @@ ORACLES: dict[str, str] = {
         FROM b FULL OUTER JOIN a ON b.key = a.key
         WHERE b.key IS NULL OR a.key IS NULL OR b.size <> a.size""",
     "inventory_snapshot": f"""WITH {_FILES}
-        SELECT key, size, last_modified, 'streaming-output' AS base FROM files""",
+        SELECT key, size, last_modified, 'tick-lake' AS base FROM files""",
     "compaction_reduction": f"""WITH {_FILES}, n AS (
         SELECT count(*) FILTER (WHERE o_orderstatus <> 'P') AS files_before,
                count(*) FILTER (WHERE o_orderstatus = 'O') AS files_after FROM files)

@@ -146,7 +146,7 @@ def orders_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(day)
     return orders.select(
         F.concat(
-            F.lit("streaming-output/"), folder, F.lit("part-"), F.col("o_orderkey").cast("string"),
+            F.lit("tick-lake/"), folder, F.lit("part-"), F.col("o_orderkey").cast("string"),
             F.lit(".parquet"),
         ).alias("key"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("size"),
@@ -432,13 +432,13 @@ def inventory_summary(spark, sf_dir):
 
 @query
 def inventory_by_group(spark, sf_dir):
-    return ops.inventory_by_group(orders_as_files(spark, sf_dir), prefix="streaming-output")
+    return ops.inventory_by_group(orders_as_files(spark, sf_dir), prefix="tick-lake")
 
 
 @query
 def inventory_by_date_group(spark, sf_dir):
     dated = orders_as_files(spark, sf_dir).withColumn("key", F.regexp_replace("key", "year=199[0-5]", "date=199"))
-    return ops.inventory_by_group(dated, prefix="streaming-output", accept_date=True)
+    return ops.inventory_by_group(dated, prefix="tick-lake", accept_date=True)
 
 
 @query
@@ -460,7 +460,7 @@ def inventory_diff(spark, sf_dir):
 def inventory_snapshot(spark, sf_dir):
     path = scratch_path(spark, "snapshot")
     files = orders_as_files(spark, sf_dir).select("key", "size", "last_modified")
-    ops.save_inventory(files, path, base="streaming-output")
+    ops.save_inventory(files, path, base="tick-lake")
     return read_inventory(spark, path).drop("snapshot_at")
 
 
