@@ -4,7 +4,8 @@ Each distinct e-mail address, phone number, card or address found is a protected
 corpus, how much of the information that an entity's presence carries does a term tell? With
 ``p(e)`` the share of documents that hold the entity and ``p(e|t)`` that among documents with the term,
 it is ``1 - log p(e|t) / log p(e)``: 0 for an unrelated term, 1 for one that occurs only with the entity.
-Terms next to an entity that tell too much are generalised together with it.
+Terms are counted over whole texts, and one that tells too much is generalised wherever it stands, in
+documents without the entity too.
 """
 
 from __future__ import annotations
@@ -19,11 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import stage
-from .text_blocks import LETTERS, SpanHash, blocks, column_of, spans
+from .text_blocks import LETTERS, Block, SpanHash, blocks, column_of, spans
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words within so many characters of an entity are its context; shorter words than this tell nothing.
-CONTEXT_CHARS, TERM_CHARS = 60, 4
 #: A term is disclosing if it tells at least this share, in at least so many documents.
 DISCLOSURE, MIN_DOCUMENTS = 0.9, 3
 
@@ -33,11 +32,13 @@ _DIGIT = re.compile("[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+#: Bits of the filter that lets words through to the join with the disclosing terms; the join decides.
+_FILTER_BITS = 22
+_HELD = "row bigint, entities array<bigint>, terms array<bigint>"
 _FOUND = (
     "row bigint, doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, "
-    "context array<struct<entity:bigint,term:bigint,low:bigint,high:bigint>>"
+    "words array<struct<term:bigint,low:bigint,high:bigint>>"
 )
 
 
@@ -80,52 +81,88 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _hashes(words: list[str]) -> list[int]:
-    """Term hashes, as :func:`document_frequencies` has them."""
+def _hashes(words: list[str]) -> np.ndarray:
+    """Hashes of whole strings, as those of terms."""
     column = pa.array(words, pa.string())
     parts = [SpanHash(b.data)(b.offsets[:-1], b.offsets[1:]) for b in (b.lowered() for b in blocks(column))]
-    return np.concatenate(parts).view(np.int64).tolist() if parts else []
-
-
-def _context(text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
-    """Entity, word, start and end for each whole word near a finding that is in none itself."""
-    out = []
-    for kind, low, high in found:
-        entity = f"{kind}:{text[low:high].lower()}"
-        begin, end = max(low - CONTEXT_CHARS, 0), min(high + CONTEXT_CHARS, len(text))
-        for m in _WORD.finditer(text, begin, end):
-            a, b = m.span()
-            cut = (a == begin > 0 and _WORD.match(text[a - 1])) or (b == end < len(text) and _WORD.match(text[b]))
-            if not cut and b - a >= TERM_CHARS and not m[0].isdigit() and not any(a < h and b > l for _, l, h in found):
-                out.append((entity, m[0], a, b))
-    return out
+    return np.concatenate([np.zeros(0, np.int64), *(p.view(np.int64) for p in parts)])
+
+
+def _terms(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each word of a block, and the first word of each text."""
+    block = block.lowered()
+    starts, ends, firsts = spans(block, LETTERS)
+    return starts, ends, SpanHash(block.data)(starts, ends).view(np.int64), firsts
+
 
+def _lists(values: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(v) for v in values], dtype=np.int64)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *values])))
 
-def find_entities(docs: DataFrame) -> DataFrame:
-    """Base findings of each row of ``docs`` and the words around them; one narrow row a document."""
+
+def held_terms(docs: DataFrame) -> DataFrame:
+    """``row, entities, terms`` of each row of ``docs`` with a finding: its distinct entities and words."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for block in blocks(column_of(batch, "text")):
+                texts = column_of(batch, "text").slice(block.first, block.size).to_pylist()
+                found = [{f"{k}:{t[a:b].lower()}" for k, a, b in base_spans(t)} if t else set() for t in texts]
+                holders = [i for i, own in enumerate(found) if own]
+                if not holders:
+                    continue
+                _, _, hashes, firsts = _terms(block)
+                entities = _hashes([e for i in holders for e in found[i]])
+                cuts = np.cumsum([len(found[i]) for i in holders])[:-1]
+                terms = [np.unique(hashes[firsts[i] : firsts[i + 1]]) for i in holders]
+                rows = pa.array(np.arange(row, row + len(holders)))
+                row += len(holders)
+                columns = [rows, _lists([np.unique(own) for own in np.split(entities, cuts)]), _lists(terms)]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "entities", "terms"])
+
+    return docs.select("text").mapInArrow(find, _HELD)
+
+
+def marked_words(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """Base findings of each row of ``docs``, and each word outside them that may be one of ``terms``.
+
+    A filter of fixed size over the hashes of ``terms`` lets words through: all that are among them, and
+    more others the more terms there are, which the join with ``terms`` has to take out.
+    """
+    buckets = terms.select(F.shiftrightunsigned("term", 64 - _FILTER_BITS).alias("b")).distinct().toArrow()
+    wanted = np.zeros(1 << _FILTER_BITS, dtype=bool)
+    wanted[buckets["b"].to_numpy()] = True
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))  # half a megabyte, whatever the input
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
+        passes = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            counts: list[list[int]] = [[] for _ in KINDS]
-            base, near = [], []
-            for text in column_of(batch, "text"):
-                text = text.as_py() or ""
-                found = base_spans(text)
-                for kind, column in zip(KINDS, counts):
-                    column.append(sum(f[0] == kind for f in found))
-                base.append(",".join(f"{k}:{a}:{b}" for k, a, b in found))
-                near.append(_context(text, found) if found else [])
-            flat = [c for own in near for c in own]
-            keys = iter(zip(_hashes([c[0] for c in flat]), _hashes([c[1] for c in flat]), flat))
-            context = [[(e, t, c[2], c[3]) for e, t, c in (next(keys) for _ in own)] for own in near]
-            kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "term", "low", "high")]))
-            named = [[dict(zip(("entity", "term", "low", "high"), c)) for c in own] for own in context]
-            columns = [pa.array(np.arange(row, row + batch.num_rows)), column_of(batch, "doc_id")]
-            columns += [pa.array(c, pa.int64()) for c in counts] + [pa.array(base, pa.string()), pa.array(named, kind)]
-            row += batch.num_rows
-            names = ["row", "doc_id", *(f"n_{k}" for k in KINDS), "base", "context"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            for block in blocks(column_of(batch, "text")):
+                texts = column_of(batch, "text").slice(block.first, block.size).to_pylist()
+                found = [base_spans(t) if t else [] for t in texts]
+                starts, ends, hashes, firsts = _terms(block)
+                at = np.flatnonzero(passes[(hashes.view(np.uint64) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+                owner = np.searchsorted(firsts, at, "right") - 1
+                chars = np.concatenate([[0], np.cumsum((block.data & 0xC0) != 0x80)])
+                base = chars[block.offsets[owner]]
+                low, high = chars[starts[at]] - base, chars[ends[at]] - base
+                outside = np.ones(len(at), dtype=bool)
+                bounds = np.searchsorted(owner, np.arange(block.size + 1))
+                for i, own in enumerate(found):
+                    part = slice(bounds[i], bounds[i + 1])
+                    for _, a, b in own if bounds[i] < bounds[i + 1] else ():
+                        outside[part] &= (low[part] >= b) | (high[part] <= a)
+                at, owner, low, high = at[outside], owner[outside], low[outside], high[outside]
+                offsets = np.searchsorted(owner, np.arange(block.size + 1)).astype(np.int32)
+                word = pa.StructArray.from_arrays([pa.array(hashes[at]), pa.array(low), pa.array(high)], ["term", "low", "high"])
+                columns = [pa.array(np.arange(row, row + block.size)), column_of(batch, "doc_id").slice(block.first, block.size)]
+                columns += [pa.array([sum(f[0] == kind for f in own) for own in found], pa.int64()) for kind in KINDS]
+                columns.append(pa.array([",".join(f"{k}:{a}:{b}" for k, a, b in own) for own in found], pa.string()))
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), word))
+                row += block.size
+                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", *(f"n_{k}" for k in KINDS), "base", "words"])
 
     return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text").mapInArrow(find, _FOUND)
 
@@ -154,20 +191,27 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(
-    docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE, min_documents: int = MIN_DOCUMENTS
+    docs: DataFrame, disclosure: float = DISCLOSURE, min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
-    """``entity, term, disclosed`` for the terms that tell at least the share ``disclosure`` of an entity."""
-    pairs = found.where("size(context) > 0").select("row", F.explode("context").alias("c")).select("row", "c.entity", "c.term")
-    pairs = pairs.groupBy("row", "entity", "term").agg(F.lit(1).alias("one"))
-    both = pairs.groupBy("entity", "term").agg(F.count("one").alias("both")).where(F.col("both") >= min_documents)
-    holders = pairs.select("row", "entity").groupBy("row", "entity").agg(F.lit(1).alias("one"))
-    holders = holders.groupBy("entity").agg(F.count("one").alias("holders"))
-    total = found.count()
-    share = 1 - F.log(F.least(F.lit(1.0), F.col("both") / F.col("documents"))) / F.log(F.col("holders") / F.lit(max(total, 2)))
+    """``entity, term, disclosed`` for the terms that tell at least the share ``disclosure`` of an entity.
+
+    All words of the whole texts that hold an entity are counted. An entity in fewer than
+    ``min_documents`` documents can share no term in so many, and is left out before its words are.
+    """
+    total = docs.count()
+    held = stage(held_terms(docs), "pii-held")
+    entities = held.select("row", F.explode("entities").alias("entity"))
+    holders = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("holders"))
+    holders = stage(holders.where((F.col("holders") >= min_documents) & (F.col("holders") < total)), "pii-holders")
+    # By row, not by entity: one that many documents hold is spread over the tasks.
+    own = entities.join(holders, "entity", "left_semi").groupBy("row").agg(F.collect_list("entity").alias("own"))
+    pairs = held.select("row", "terms").join(own, "row").select(F.explode("own").alias("entity"), "terms")
+    pairs = pairs.select("entity", F.explode("terms").alias("term"))
+    both = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= min_documents)
     candidates = stage(both, "pii-pairs")
+    share = 1 - F.log(F.least(F.lit(1.0), F.col("both") / F.col("documents"))) / F.log(F.col("holders") / F.lit(max(total, 2)))
     return (
         candidates.join(holders, "entity")
-        .where(F.col("holders") < total)
         .join(document_frequencies(docs), "term")
         .withColumn("disclosed", share)
         .where(F.col("disclosed") >= disclosure)
@@ -179,14 +223,16 @@ def protected_spans(docs: DataFrame, disclosure: float = DISCLOSURE, min_documen
     """Per row of ``docs`` (``doc_id, text``): counts by kind, ``base`` and all ``spans``.
 
     Spans are ``kind:start:end`` in code points, comma-joined, by kind as listed and then start;
-    disclosing terms follow as ``term:start:end``. NULL and empty texts have none. Each row is judged
-    alone but for the corpus statistics, in which every row counts as a document; other columns are ignored.
+    every occurrence of a disclosing term outside these follows as ``term:start:end``, whether or not the
+    document holds the entity. NULL and empty texts have none. Each row is judged alone but for the
+    corpus statistics, in which every row counts as a document; other columns are ignored.
     """
-    found = stage(find_entities(docs), "pii")
-    terms = stage(disclosing_terms(docs, found, disclosure, min_documents), "pii-terms")
-    near = found.where("size(context) > 0").select("row", F.explode("context").alias("c")).select("row", "c.*")
-    places = near.join(terms, ["entity", "term"], "left_semi").groupBy("row").agg(
-        F.sort_array(F.collect_set(F.struct("low", "high"))).alias("places")
+    terms = disclosing_terms(docs, disclosure, min_documents).groupBy("term").agg(F.max("disclosed").alias("disclosed"))
+    terms = stage(terms, "pii-terms")
+    found = stage(marked_words(docs, terms), "pii")
+    words = found.where("size(words) > 0").select("row", F.explode("words").alias("w")).select("row", "w.*")
+    places = words.join(terms, "term", "left_semi").groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("low", "high"))).alias("places")
     )
     written = F.array_join(F.transform("places", lambda p: F.concat_ws(":", F.lit("term"), p.low, p.high)), ",")
     spans_text = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), written)
