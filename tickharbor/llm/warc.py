@@ -27,6 +27,7 @@ _INDEX = (
     "url_key string, captured_at string, page_id bigint, record_id string, url string, payload_bytes bigint, "
     "payload_digest string, archive string, record_no bigint"
 )
+_TYPED = _INDEX + ", record_type string, refers_to bigint"
 _ORDER = ["url_key", "captured_at", "page_id", "archive", "record_no"]
 
 
@@ -123,9 +124,9 @@ def _capture(row: tuple) -> tuple:
     return row[0], row[1], row[2] is not None, row[2] or 0, row[7], row[8]
 
 
-def _index_batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = [field.split()[0] for field in _INDEX.split(", ")]
-    kinds = [pa.int64() if field.endswith("bigint") else pa.string() for field in _INDEX.split(", ")]
+def _index_batch(rows: list[tuple], schema: str = _INDEX) -> pa.RecordBatch:
+    names = [field.split()[0] for field in schema.split(", ")]
+    kinds = [pa.int64() if field.endswith("bigint") else pa.string() for field in schema.split(", ")]
     columns = zip(*rows) if rows else [[] for _ in names]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -167,9 +168,12 @@ class LoserTree:
 def merge_runs(index: DataFrame, partitions: int | None = None) -> DataFrame:
     """The rows of all runs in one global order of URL key, timestamp and page.
 
-    Ranges are cut on the whole order, not on the URL, so that a host or page with many captures
-    spreads over several of them. Each range holds its piece of every run, as sorted as it was written.
+    ``index`` has the columns of :func:`read_index_runs`, and those of :func:`typed_runs` or not. Ranges
+    are cut on the whole order, not on the URL, so that a host or page with many captures spreads over
+    several of them. Each range holds its piece of every run; a run that a join has dealt anew is sorted again.
     """
+    schema = _TYPED if "record_type" in index.columns else _INDEX
+    index = index.select(*[field.split()[0] for field in schema.split(", ")])
     spark = index.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -184,21 +188,15 @@ def merge_runs(index: DataFrame, partitions: int | None = None) -> DataFrame:
         for row in LoserTree(runs.values()):
             out.append(row)
             if len(out) == 10_000:
-                yield _index_batch(out)
+                yield _index_batch(out, schema)
                 out = []
-        yield _index_batch(out)
+        yield _index_batch(out, schema)
 
-    return index.repartitionByRange(count, *_ORDER).mapInArrow(merge, _INDEX)
+    return index.repartitionByRange(count, *_ORDER).mapInArrow(merge, schema)
 
 
-def capture_histories(spark: SparkSession, path: str, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """The merged index of the archives below ``path`` with ``record_type`` and ``refers_to``.
-
-    Of records with equal payloads of at least ``revisit_bytes`` the one with the smallest ``page_id`` is
-    the response and the others revisit it; shorter ones, and rows without a ``page_id``, are responses.
-    A ``page_id`` that occurs twice with equal payload is a response each time.
-    """
-    runs = stage(read_index_runs(spark, path), "warc-runs")
+def typed_runs(runs: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
+    """``runs``, a table that can be read twice, with ``record_type`` and ``refers_to``, in any order."""
     firsts = (
         runs.where(F.col("payload_bytes") >= revisit_bytes)
         .groupBy(F.col("payload_digest").alias("first_digest"))
@@ -208,14 +206,25 @@ def capture_histories(spark: SparkSession, path: str, revisit_bytes: int = REVIS
     )
     revisit = F.col("page_id") > F.col("first_page")
     return (
-        merge_runs(runs)
-        .join(firsts, F.col("payload_digest") == F.col("first_digest"), "left")
+        runs.join(firsts, F.col("payload_digest") == F.col("first_digest"), "left")
         .withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
         .withColumn("refers_to", F.when(revisit, F.col("first_page")))
         .drop("first_digest", "first_page")
     )
 
 
+def capture_histories(spark: SparkSession, path: str, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
+    """The index of the archives below ``path`` with ``record_type`` and ``refers_to``, in one global order.
+
+    Of records with equal payloads of at least ``revisit_bytes`` the one with the smallest ``page_id`` is
+    the response and the others revisit it; shorter ones, and rows without a ``page_id``, are responses.
+    A ``page_id`` that occurs twice with equal payload is a response each time. The merge comes last, so
+    rows and what is written of them are ordered whatever join finds the types.
+    """
+    runs = stage(read_index_runs(spark, path), "warc-runs")
+    return merge_runs(typed_runs(runs, revisit_bytes))
+
+
 def archive_and_index(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Write ``pages`` to archives in the shared folder, read them back, and return their histories."""
     path = scratch_path(spark, "warc")
