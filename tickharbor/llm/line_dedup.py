@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..scratch import stage
 
-MIN_SITES, MIN_CHARS, LG_REGISTERS = 8, 25, 12
+#: Lines under ``MIN_CHARS`` characters, less than most words, are left out; a blank line is one of them.
+MIN_SITES, MIN_CHARS, LG_REGISTERS = 8, 4, 12
 _KEY = ["line_a", "line_b"]
 
 
