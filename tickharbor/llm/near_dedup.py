@@ -34,7 +34,8 @@ COLLISION = 1 / (3 * 2**MANTISSA_BITS)
 #: in small sets, are as good as a sample with replacement, so the bound holds for every size.
 LEAST_ESTIMATE = 0.765
 #: A word of 48 register parities and a size comes with each class, to sort out most chance meetings before
-#: registers are fetched: linked documents differ in 4 parities on average, and in more than 15 once in 10**8.
+#: registers are fetched: documents at 0.85 differ in 3.6 parities on average, and in more than 15
+#: twice in 10**7 pairs by the binomial sum.
 PARITIES, MOST_DIFFERENT, PARITY_SET = 48, 15, 60
 SIZE_STEPS = 1000
 BLOCK_ROWS = 512
