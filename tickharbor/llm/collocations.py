@@ -45,6 +45,8 @@ _PROBES = (0, 19, 38)
 _ENDS_PIECE = byte_class([*b".,;:!?", *range(0x0A, 0x0E)])
 _WORD = ~(_ENDS_PIECE | byte_class([0x20, 0x09]))
 
+#: Bytes of text in a shard, unless one text has more.
+SHARD_BYTES = 2_000_000
 _SLICE = 100_000
 
 
@@ -72,7 +74,7 @@ def words_of(block: Block, languages: np.ndarray, language_keys: np.ndarray) ->
     low = block.lowered()
     starts, ends, firsts = spans(low, _WORD)
     owner = owners(firsts)
-    piece = np.cumsum(_ENDS_PIECE[low.data])[starts] if len(starts) else starts
+    piece = np.cumsum(_ENDS_PIECE[low.data], dtype=np.int32)[starts] if len(starts) else starts
     joined = (owner[1:] == owner[:-1]) & (piece[1:] == piece[:-1])
     language = languages[owner]
     keys = mix(SpanHash(low.data)(starts, ends) + language_keys[language])
@@ -81,14 +83,18 @@ def words_of(block: Block, languages: np.ndarray, language_keys: np.ndarray) ->
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], Words]]:
     """The shards of a task's rows (``lang``, ``text``), each with the names of its languages."""
-    for batch in batches:
-        coded = column_of(batch, "lang").fill_null(NO_LANGUAGE).dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        codes = np.asarray(coded.indices)
-        digests = [hashlib.blake2b(name.encode("utf-8", "surrogatepass"), digest_size=8).digest() for name in names]
-        keys = np.frombuffer(b"".join(digests), dtype=np.uint64)
-        for block in blocks(column_of(batch, "text")):
-            yield names, words_of(block, codes[block.first : block.first + block.size], keys)
+    for whole in batches:
+        # Texts are copied on the way: a part of a batch at a time.
+        rows = max(whole.num_rows * SHARD_BYTES // max(whole.nbytes, 1), 1)
+        for at in range(0, whole.num_rows, rows):
+            batch = whole.slice(at, rows)
+            coded = column_of(batch, "lang").fill_null(NO_LANGUAGE).dictionary_encode()
+            names = coded.dictionary.to_pylist()
+            codes = np.asarray(coded.indices)
+            digests = [hashlib.blake2b(name.encode("utf-8", "surrogatepass"), digest_size=8).digest() for name in names]
+            keys = np.frombuffer(b"".join(digests), dtype=np.uint64)
+            for block in blocks(column_of(batch, "text"), SHARD_BYTES):
+                yield names, words_of(block, codes[block.first : block.first + block.size], keys)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
