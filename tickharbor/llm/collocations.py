@@ -1,12 +1,12 @@
 """Collocations of two to four words, counted by an FM-index over word ids in each shard.
 
-A shard is a block of texts. Two passes over the texts, both without any group that grows with a word:
+A shard is a block of texts. Two steps read the texts, both without any group that grows with a word:
 
 1. The *screen*. Every shard sends hashes of its words and word pairs with their counts; hashes whose sum
-   reaches the support set three bits each of a bitmap of fixed size. A phrase of support has only words and
-   pairs of support, so a phrase with a bit missing cannot be a candidate: the bitmap has no false negatives,
-   and what it lets through by chance is dropped later by exact counts. Its size is therefore a matter of
-   speed alone.
+   reaches the support set three bits each of a bitmap of fixed size. So do, in one more pass, triples of which
+   both pairs pass. The parts of a phrase of support have support too, so a phrase with a bit missing cannot be a
+   candidate: the bitmap has no false negatives, and what it lets through by chance is dropped later by exact
+   counts. Its size is therefore a matter of speed alone.
 2. The *index*. A shard cuts its word sequence wherever a pair fails the screen and builds a bidirectional
    FM-index of what is left: word ids ordered by the next :data:`DEPTH` words, and by the previous ones, each with
    the Burrows-Wheeler symbols (the word before, the word after). Intervals of both orders are extended together,
@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,9 +62,9 @@ class Words:
     language: np.ndarray
     joined: np.ndarray
 
-    def pair_keys(self) -> np.ndarray:
-        """A key for each word with its successor; meaningless where ``joined`` is false."""
-        return window_hashes(self.keys, 2)
+    def linked(self, screen: np.ndarray) -> np.ndarray:
+        """Which words make a pair of the screen with the next one."""
+        return self.joined & passes(screen, window_hashes(self.keys, 2))
 
     def text(self, i: int) -> str:
         return self.data[self.starts[i] : self.ends[i]].tobytes().decode("utf-8", "replace")
@@ -102,21 +103,25 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, _SLICE)
 
 
-def _hashed_counts(docs: DataFrame) -> DataFrame:
-    """``key, n``: hashes of the words and pairs of every shard."""
+def _hashed_counts(docs: DataFrame, screen: Broadcast | None) -> DataFrame:
+    """``key, n``: hashes of the words and pairs of every shard; with a screen, of triples whose pairs pass it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, words in _shards(batches):
-            keys = np.concatenate([words.keys, words.pair_keys()[words.joined]])
+            if screen is None:
+                keys = np.concatenate([words.keys, window_hashes(words.keys, 2)[words.joined]])
+            else:
+                linked = words.linked(screen.value)
+                keys = window_hashes(words.keys, 3)[linked[:-1] & linked[1:]]
             keys, n = np.unique(keys, return_counts=True)
             yield from _slices(pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"]))
 
     return docs.select("lang", "text").mapInArrow(count, "key bigint, n bigint")
 
 
-def screen_of(docs: DataFrame, support: int, bits: int = SCREEN_BITS) -> np.ndarray:
-    """The bitmap, as 64-bit words: at most ``2 ** bits`` bits come to the driver, whatever the input."""
-    frequent = _hashed_counts(docs).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+def _bitmap(counts: DataFrame, support: int, bits: int) -> np.ndarray:
+    """The bits of the hashes with support, as 64-bit words: ``2 ** bits`` bits come to the driver at most."""
+    frequent = counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
     place = F.explode(F.array(*[F.shiftrightunsigned("key", p).bitwiseAND((1 << bits) - 1) for p in _PROBES]))
     words = frequent.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, CAST(place & 63 AS INT)))").alias("bits")
@@ -127,6 +132,16 @@ def screen_of(docs: DataFrame, support: int, bits: int = SCREEN_BITS) -> np.ndar
     return out
 
 
+def screen_of(docs: DataFrame, support: int, bits: int = SCREEN_BITS) -> Broadcast:
+    """Words, pairs and triples that may have the support: a broadcast of fixed size, whatever the input."""
+    context = docs.sparkSession.sparkContext
+    first = _bitmap(_hashed_counts(docs, None), support, bits)
+    pairs = context.broadcast(first)
+    triples = _bitmap(_hashed_counts(docs, pairs), support, bits)
+    pairs.destroy()
+    return context.broadcast(first | triples)
+
+
 def passes(screen: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys have all their bits set."""
     mask = np.uint64(len(screen) * 64 - 1)
@@ -159,6 +174,9 @@ class Intervals:
     backward: np.ndarray
     count: np.ndarray
 
+    def taken(self, which: np.ndarray) -> Intervals:
+        return Intervals(self.forward[which], self.backward[which], self.count[which])
+
 
 class WordIndex:
     """Bidirectional FM-index of runs of word ids (from 1; a 0 before, between and after the runs).
@@ -208,9 +226,14 @@ class WordIndex:
         return self._symbols[self.places[phrases.forward][:, None] + np.arange(length)]
 
 
+def _joint(keys: np.ndarray) -> np.ndarray:
+    """The key of each row's words, as of a window of them."""
+    return window_hashes(keys.ravel(), keys.shape[1])[:: keys.shape[1]]
+
+
 def _runs(words: Words, screen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of the words that stand in a pair of the screen, in runs; one word of each id, and the count of all such words."""
-    linked = words.joined & passes(screen, words.pair_keys())
+    linked = words.linked(screen)
     ids, first, inverse, count = np.unique(words.keys, return_index=True, return_inverse=True, return_counts=True)
     opens, inside = np.concatenate([[True], ~linked]), np.zeros(len(words.keys), dtype=bool)
     inside[:-1] |= linked
@@ -242,6 +265,10 @@ def shard_phrases(words: Words, screen: np.ndarray, depth: int = DEPTH) -> Itera
     for length in range(2, depth + 1):
         phrases = index.extended(phrases, "right" if length % 2 == 0 else "left")
         ids = used[index.symbols(phrases, length)] - 1
+        if length > 2:
+            keys = words.keys[first[ids]]
+            kept = np.flatnonzero(passes(screen, _joint(keys[:, :3])) & passes(screen, _joint(keys[:, -3:])))
+            phrases, ids = phrases.taken(kept), ids[kept]
         languages = words.language[first[ids[:, 0]]].tolist()
         yield languages, [" ".join([text(w) for w in row]) for row in ids.tolist()], length, phrases.count
 
@@ -254,7 +281,7 @@ def phrase_counts(docs: DataFrame, support: int = SUPPORT, depth: int = DEPTH, b
 
     Besides, a row of 0 words for each language: the number of all its words.
     """
-    screen = docs.sparkSession.sparkContext.broadcast(screen_of(docs, support, bits))
+    screen = screen_of(docs, support, bits)
 
     def enumerate_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for names, words in _shards(batches):
