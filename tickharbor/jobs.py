@@ -12,7 +12,6 @@ from . import operators as ops
 from .functions import partition_spec_for
 from .operators.compaction import MAX_FILE_BYTES
 from .plans.maintenance import compact_and_verify, tick_view
-from .schema import LAKE_SCHEMA
 from .session import build_session
 from .sources import file_inventory, read_inventory, read_ticks, tick_source
 from .streaming import ingest_ticks
@@ -69,7 +68,7 @@ def summary(spark: SparkSession, args: argparse.Namespace) -> None:
 def latest(spark: SparkSession, args: argparse.Namespace) -> None:
     """The newest rows, again and again."""
     while True:
-        ops.latest_ticks_recent(read_ticks(spark, args.raw, LAKE_SCHEMA), args.n).show(truncate=False)
+        ops.latest_ticks_at(spark, args.raw, args.n).show(truncate=False)
         time.sleep(args.every)
 
 

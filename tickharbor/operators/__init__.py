@@ -23,7 +23,7 @@ from .inventory import (
 )
 from .models import first_model, materialize, second_model
 from .quality import check_ticks, not_null_violations, unique_violations
-from .ranked import latest_ticks, latest_ticks_recent, preview, price_bands, ticker_tail
+from .ranked import latest_ticks, latest_ticks_at, latest_ticks_recent, preview, price_bands, ticker_tail
 from .sinks import save_inventory, save_table
 
 __all__ = [
@@ -42,6 +42,7 @@ __all__ = [
     "inventory_summary",
     "largest_files",
     "latest_ticks",
+    "latest_ticks_at",
     "latest_ticks_recent",
     "materialize",
     "not_null_violations",

@@ -3,6 +3,10 @@
 Specs select hours and the hour is always the grain of the output, so a coarse spec never
 changes the directory layout. Compacted hours are recomputed from raw: running a selection
 again gives the same table, and late rows are picked up by compacting their hour again.
+
+A run writes below a directory of its own and is published whole, by one new version of the table of
+compacted hours (``sources.commits``); then the hours it replaced are deleted. An hour whose rows are not all there is
+reported and not published.
 """
 
 from __future__ import annotations
@@ -18,7 +22,10 @@ from pyspark.sql import types as T
 from ..functions.partitions import ALL_HOURS, Spec, Specs, as_specs, format_spec, hour_key
 from ..schema import INVENTORY_SCHEMA, LAKE_SCHEMA, PARTITION_COLS
 from ..scratch import stage
+from ..sources.commits import RUN_COL, claim_run, publish_run, run_folder
 from ..sources.lake import load_partitions, path_is_missing, read_partitions
+from ..sources.paths import remove_folder
+from .sinks import PLACED_BY_TASKS
 
 # Raw data that one write task takes before another task is worth its start-up.
 TASK_BYTES = 128 << 20
@@ -68,18 +75,6 @@ def partition_files(table: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def partition_files_at(
-    spark: SparkSession, root: str, specs: Specs, schema: T.StructType = LAKE_SCHEMA
-) -> DataFrame:
-    """:func:`partition_files` of the selected part of a root; a missing root has no files."""
-    try:
-        return partition_files(read_partitions(spark, root, specs, schema))
-    except AnalysisException as error:
-        if not path_is_missing(error):
-            raise
-        return spark.createDataFrame([], _FILES_SCHEMA)
-
-
 def damaged_files(
     spark: SparkSession, root: str, specs: Specs, schema: T.StructType = LAKE_SCHEMA
 ) -> DataFrame:
@@ -103,6 +98,31 @@ def damaged_files(
     return listing.join(intact, "key", "left_anti").select(*PARTITION_COLS, "key")
 
 
+def listed_files(spark: SparkSession, root: str, specs: Specs) -> DataFrame:
+    """Hour, path and size of the selected files of a raw root, from the listing alone: no file is opened."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    try:
+        table = load_partitions(spark, reader, root, as_specs(specs))
+    except AnalysisException as error:
+        if not path_is_missing(error):
+            raise
+        return spark.createDataFrame([], _FILES_SCHEMA).drop("last_modified", "rows")
+    return table.select(
+        *[F.col(name).cast("int") for name in PARTITION_COLS],
+        F.col("_metadata.file_path").alias("key"), F.col("length").alias("size"),
+    )
+
+
+def fingerprints(files: DataFrame) -> DataFrame:
+    """Number, bytes and an order-free digest of each hour's files, by their place below the root and size."""
+    place = F.regexp_extract("key", r"/(year=[^/]*/.*)$", 1)
+    return files.groupBy(*PARTITION_COLS).agg(
+        F.count(F.lit(1)).alias("source_files"),
+        F.sum("size").alias("source_bytes"),
+        F.bit_xor(F.xxhash64(place, "size")).alias("source_hash"),
+    )
+
+
 def partition_stats(files: DataFrame) -> DataFrame:
     """Files, bytes and rows per hour directory."""
     return (
@@ -124,9 +144,13 @@ def compact_partitions(
     max_file_bytes: int = MAX_FILE_BYTES,
     schema: T.StructType = LAKE_SCHEMA,
     raise_on_failure: bool = False,
+    keep_versions: int = 1,
 ) -> DataFrame:
     """Rewrite the selected hours of ``raw`` into ``compacted`` with ``num_files`` files each.
 
+    Readers see the run whole or not at all. What it replaces is deleted, unless ``keep_versions`` leaves it to readers
+    that have begun, until so many later runs were published.
+
     An hour with more than ``num_files * max_file_bytes`` of raw data gets as many more files
     as that takes, so a hot hour is written by many tasks. All hours go through one job. If that
     fails, one more job looks for damaged files; their hours are reported as failed, with the file's
@@ -137,7 +161,7 @@ def compact_partitions(
     fewer rows than ``files_wanted`` gets fewer files. ``status`` is
     ``compacted``, ``row_mismatch``, ``missing`` or ``failed``.
     """
-    report = run_compaction(spark, raw, compacted, specs, num_files, max_file_bytes, schema).report
+    report = run_compaction(spark, raw, compacted, specs, num_files, max_file_bytes, schema, keep_versions).report
     if raise_on_failure:
         problems = report.where(F.col("status") != "compacted").limit(20).collect()
         if problems:
@@ -153,13 +177,14 @@ def run_compaction(
     num_files: int = 1,
     max_file_bytes: int = MAX_FILE_BYTES,
     schema: T.StructType = LAKE_SCHEMA,
+    keep_versions: int = 1,
 ) -> Compaction:
     """:func:`compact_partitions`, with the file lists the report is made from."""
-    if num_files < 1 or max_file_bytes < 1:
-        raise ValueError("num_files and max_file_bytes must be positive")
+    if num_files < 1 or max_file_bytes < 1 or keep_versions < 1:
+        raise ValueError("num_files, max_file_bytes and keep_versions must be positive")
 
     def attempt(damaged: DataFrame | None = None) -> Compaction:
-        return _compact(spark, raw, compacted, num_files, max_file_bytes, schema, wanted, damaged)
+        return _compact(spark, raw, compacted, num_files, max_file_bytes, schema, keep_versions, wanted, damaged)
 
     wanted, no_files = as_specs(specs), spark.createDataFrame([], _FILES_SCHEMA)
     if not wanted:
@@ -184,6 +209,7 @@ def _compact(
     num_files: int,
     max_file_bytes: int,
     schema: T.StructType,
+    keep_versions: int,
     specs: list[Spec],
     damaged: DataFrame | None,
 ) -> Compaction:
@@ -213,20 +239,42 @@ def _compact(
         else:
             hot = stage(sized.select(hour_key().alias("_hour"), "_files"), "compaction-sizes")
             placed = placed.withColumn("_hour", hour_key()).join(hot, "_hour")
-        _write(placed, compacted, tasks, schema)
-
-    after = stage(partition_files_at(spark, compacted, specs, schema), "compaction-after")
+        run = claim_run(spark, compacted)
+        folder = run_folder(compacted, run)
+        try:
+            _write(placed, folder, tasks, schema)
+            written = spark.read.schema(schema).option("basePath", compacted).parquet(folder).drop(RUN_COL)
+            after = stage(partition_files(written), "compaction-after")
+            publish_run(spark, compacted, stage(_new_hours(run, before, after), "compacted-hours"), keep_versions)
+        except BaseException:
+            remove_folder(spark, folder)
+            raise
+    else:
+        after = spark.createDataFrame([], _FILES_SCHEMA)
     report, found = _report(sized, partition_stats(after)), sized.select(*PARTITION_COLS)
     if damaged is not None:
         report = report.unionByName(_damage_report(damaged))
         found = found.unionByName(damaged.select(*PARTITION_COLS))
-        # Without what an earlier run left of the damaged hours.
-        after = after.where(~hour_key().isin(hours))
     return Compaction(report.unionByName(_missing_report(spark, found, specs)), before, after)
 
 
-def _write(placed: DataFrame, compacted: str, tasks: int, schema: T.StructType) -> None:
-    """Spread each hour over ``_files`` tasks by row position and overwrite just those hours.
+def _new_hours(run: int, before: DataFrame, after: DataFrame) -> DataFrame:
+    """What the run has to publish: its hours, as far as they hold all rows of their source files."""
+    key = hour_key().alias("hour_key")
+    rows = before.groupBy(key).agg(F.sum("rows").alias("_rows"))
+    sources = fingerprints(before).withColumn("hour_key", hour_key()).drop(*PARTITION_COLS).join(rows, "hour_key")
+    hours = partition_stats(after).withColumn("hour_key", hour_key()).join(sources, "hour_key")
+    whole = hours.where(F.col("rows") == F.col("_rows"))
+    counts = hours.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("rows") == F.col("_rows")).alias("whole")).first()
+    run_hours = F.lit(counts.n if counts.n == counts.whole else None).cast("bigint")
+    return whole.select(
+        *PARTITION_COLS, F.lit(run).cast("bigint").alias(RUN_COL), "files", "bytes", "rows",
+        "source_files", "source_bytes", "source_hash", run_hours.alias("run_hours"),
+    )
+
+
+def _write(placed: DataFrame, folder: str, tasks: int, schema: T.StructType) -> None:
+    """Spread each hour over ``_files`` tasks by row position.
 
     An hour starts at a hashed task and takes the ``_files`` tasks from there, which are distinct
     because ``tasks`` is never lower: one file per task. The position (file and row number)
@@ -243,10 +291,9 @@ def _write(placed: DataFrame, compacted: str, tasks: int, schema: T.StructType)
         .repartitionById(tasks, F.col("_task"))
         .select(*columns)
         .sortWithinPartitions(*PARTITION_COLS, *order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .write.options(**PLACED_BY_TASKS)
         .partitionBy(*PARTITION_COLS)
-        .parquet(compacted)
+        .parquet(folder)
     )
 
 

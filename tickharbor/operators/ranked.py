@@ -5,11 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..schema import LAKE_SCHEMA
 from ..scratch import stage
 from ..sources.lake import ticks_since
+from ..sources.newest import read_newest
 from .aggregates import ticker_kpis
 
 
@@ -48,6 +51,14 @@ def latest_ticks_recent(
     return latest_ticks(ticks, n)
 
 
+def latest_ticks_at(spark: SparkSession, root: str, n: int = 5, schema: T.StructType = LAKE_SCHEMA) -> DataFrame:
+    """:func:`latest_ticks` of the lake at ``root``, for polls: days older than the answer are not even listed.
+
+    Empty hours, however many, only make it look at older ones.
+    """
+    return latest_ticks(read_newest(spark, root, n, schema), n)
+
+
 def preview(ticks: DataFrame, n: int = 20, order_by: Sequence[str | Column] = ()) -> DataFrame:
     """``n`` rows of the main columns: any rows, or the first of a given order."""
     chosen = ticks.orderBy(*order_by) if order_by else ticks

@@ -8,6 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Options of Spark's file committer. What is written counts only when it is published, so tasks
+# may move their own files and nothing is left for the driver to move.
+PLACED_BY_TASKS = {
+    "mapreduce.fileoutputcommitter.algorithm.version": "2",
+    "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
+}
+
+
 def gather_partitions(df: DataFrame, partition_cols: Sequence[str], spread: int) -> DataFrame:
     """Bring the rows of a partition into at most ``spread`` tasks before a partitioned write.
 

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.partitions import Specs, hour_key
-from ..operators.compaction import MAX_FILE_BYTES, run_compaction
+from ..functions.partitions import ALL_HOURS, Specs, as_specs, hour_key, partition_predicate
+from ..operators.compaction import MAX_FILE_BYTES, fingerprints, listed_files, run_compaction
 from ..operators.inventory import assert_compaction, require_compaction
 from ..operators.sinks import save_inventory
-from ..schema import LAKE_SCHEMA
+from ..schema import LAKE_SCHEMA, PARTITION_COLS
 from ..scratch import stage
+from ..sources.commits import compacted_hours
 from ..sources.inventory import read_inventory
-from ..sources.lake import read_partitions, read_partitions_or_empty, read_ticks, read_ticks_or_empty
+from ..sources.lake import read_hours, read_partitions, read_ticks
 
 
 @dataclass(frozen=True)
@@ -69,25 +72,33 @@ def _snapshot(spark: SparkSession, files: DataFrame, root: str, path: str) -> Da
     return read_inventory(spark, path)
 
 
-def _rows_per_hour(table: DataFrame, name: str) -> DataFrame:
-    return table.groupBy(hour_key().alias("hour_key")).agg(F.count(F.lit(1)).alias(name))
+_SOURCE = ["source_files", "source_bytes", "source_hash"]
 
 
-def _raw_against_compacted(raw: DataFrame, compacted: DataFrame) -> DataFrame:
-    """Row counts of every raw hour on both sides; only file footers are read."""
-    return (
-        _rows_per_hour(raw, "raw_rows")
-        .join(_rows_per_hour(compacted, "compacted_rows"), "hour_key", "left")
-        .withColumn("compacted_rows", F.coalesce("compacted_rows", F.lit(0)))
-    )
+def _selected(hours: DataFrame | None, specs: Specs | None) -> DataFrame | None:
+    return hours if hours is None or specs is None else hours.where(partition_predicate(as_specs(specs)))
+
+
+def _changed_hours(spark: SparkSession, raw: str, compacted: DataFrame | None, specs: Specs | None) -> DataFrame:
+    """``hour_key, compacted_rows`` of the raw hours whose files are not those that were compacted.
+
+    Raw is listed, and nothing of either root is opened: the files of a compacted hour are known by number, size
+    and digest.
+    """
+    files = listed_files(spark, raw, ALL_HOURS if specs is None else specs)
+    now = fingerprints(files).withColumn("hour_key", hour_key()).drop(*PARTITION_COLS)
+    if compacted is None:
+        return stage(now.select("hour_key", F.lit(0).cast("bigint").alias("compacted_rows")), "open-hours")
+    names = {name: f"known_{name}" for name in _SOURCE}
+    known = compacted.select(hour_key().alias("hour_key"), "rows", *_SOURCE).withColumnsRenamed(names)
+    same = reduce(and_, [F.col(name) == F.col(known_name) for name, known_name in names.items()])
+    changed = now.join(known, "hour_key", "left").where(~F.coalesce(same, F.lit(False)))
+    return stage(changed.select("hour_key", F.coalesce("rows", F.lit(0)).alias("compacted_rows")), "open-hours")
 
 
-def _both_roots(
-    spark: SparkSession, raw: str, compacted: str, specs: Specs | None, schema: T.StructType
-) -> tuple[DataFrame, DataFrame]:
-    if specs is None:
-        return read_ticks(spark, raw, schema), read_ticks_or_empty(spark, compacted, schema)
-    return read_partitions(spark, raw, specs, schema), read_partitions_or_empty(spark, compacted, specs, schema)
+def _read_raw(spark: SparkSession, raw: str, specs: Specs | None, schema: T.StructType) -> DataFrame:
+    table = read_ticks(spark, raw, schema) if specs is None else read_partitions(spark, raw, specs, schema)
+    return table.withColumn("hour_key", hour_key())
 
 
 def tick_view(
@@ -101,17 +112,19 @@ def tick_view(
 
     The hours that live in raw are staged first: one row each, and small, since only hours behind
     the last compaction, and those with late rows, are in it. The semi join on them prunes the other
-    raw directories at run time, and an anti join keeps their old copies out.
+    raw directories at run time; of the compacted root only the current hours are opened at all. Which they are
+    is told by listing raw, without opening a file.
 
-    ``specs`` narrows the view to some partitions, and with it the file footers that are looked at.
+    ``specs`` narrows the view to some partitions, and with it the listing.
     """
-    raw_ticks, compacted_ticks = _both_roots(spark, raw, compacted, specs, schema)
-    open_hours = stage(
-        _raw_against_compacted(raw_ticks, compacted_ticks).where("raw_rows <> compacted_rows"), "open-hours"
-    ).where("raw_rows > 0").select("hour_key")  # the filter lets the join prune directories
-    still_raw = raw_ticks.withColumn("hour_key", hour_key()).join(open_hours, "hour_key", "left_semi")
-    current = compacted_ticks.withColumn("hour_key", hour_key()).join(open_hours, "hour_key", "left_anti")
-    return current.unionByName(still_raw).drop("hour_key")
+    hours = _selected(compacted_hours(spark, compacted), specs)
+    # The filter, which all hours pass, lets the join prune directories.
+    open_hours = _changed_hours(spark, raw, hours, specs).where("hour_key >= -1").select("hour_key")
+    still_raw = _read_raw(spark, raw, specs, schema).join(open_hours, "hour_key", "left_semi").drop("hour_key")
+    if hours is None:
+        return still_raw
+    current = hours.withColumn("hour_key", hour_key()).join(open_hours, "hour_key", "left_anti")
+    return read_hours(spark, compacted, current, schema).unionByName(still_raw)
 
 
 def hours_needing_compaction(
@@ -125,10 +138,13 @@ def hours_needing_compaction(
 
     Rows without a time are one more hour, of NULLs, which only the spec ``all`` selects.
     """
+    changed = _changed_hours(spark, raw, _selected(compacted_hours(spark, compacted), specs), specs)
+    # Only the files of hours that have changed are opened, and of those the footers.
+    rows = _read_raw(spark, raw, specs, schema).join(changed.where("hour_key >= -1"), "hour_key", "left_semi")
+    counted = rows.groupBy("hour_key").agg(F.count(F.lit(1)).alias("raw_rows"))
     key = F.col("hour_key")
-    stale = _raw_against_compacted(*_both_roots(spark, raw, compacted, specs, schema)).where(
-        "raw_rows <> compacted_rows"
-    ).withColumn("hour_key", F.when(key >= 0, key))
+    stale = counted.join(changed, "hour_key").where("raw_rows <> compacted_rows")
+    stale = stale.withColumn("hour_key", F.when(key >= 0, key))
     return stale.select(
         F.floor(key / 1_000_000).cast("int").alias("year"),
         F.pmod(F.floor(key / 10_000), F.lit(100)).cast("int").alias("month"),

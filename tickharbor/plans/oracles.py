@@ -102,6 +102,7 @@ ORACLES: dict[str, str] = {
         FROM ticks GROUP BY year, month, day, hour""",
     # newest rows, tails, bands
     "latest_ticks": f"WITH {_TICKS} SELECT {_COLUMNS} FROM ticks ORDER BY {_NEWEST} LIMIT 5",
+    "latest_ticks_by_path": f"WITH {_TICKS} SELECT {_COLUMNS} FROM ticks ORDER BY {_NEWEST} LIMIT 5",
     "latest_ticks_recent": f"WITH {_TICKS} SELECT {_COLUMNS} FROM ticks ORDER BY {_NEWEST} LIMIT 5",
     "ticker_tail": f"""WITH {_TICKS}
         SELECT {_COLUMNS}, CAST(row_number() OVER (
@@ -246,6 +247,7 @@ ORACLES: dict[str, str] = {
         SELECT year, month, day, hour, n_rows AS raw_rows, CAST(0 AS BIGINT) AS compacted_rows
         FROM hours JOIN d USING (year, month, day) WHERE n > (days + 1) // 2""",
     # streams
+    "ticks_after_dead_batch": f"WITH {_TICKS} SELECT {_COLUMNS} FROM ticks",
     "tick_stream_roundtrip": f"WITH {_SENT} SELECT ticker, price, volume, ts, {_PARTS} FROM sent",
     "message_file_stream": f"WITH {_SENT} SELECT ticker, price, volume, ts, {_PARTS} FROM sent",
     "restarted_tick_stream": f"""WITH {_SENT}

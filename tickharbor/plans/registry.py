@@ -26,6 +26,7 @@ from ..functions import (
     with_time_partitions,
 )
 from ..functions.partitions import ALL_HOURS, hour_key
+from ..operators.sinks import gather_partitions
 from ..schema import LAKE_SCHEMA, PARTITION_COLS, TICK_SCHEMA
 from ..scratch import scratch_path
 from ..session import pin_zone
@@ -42,6 +43,8 @@ from ..sources import (
     ticks_since,
     union_ticks,
 )
+from ..sources.commits import begin_batch
+from ..streaming.batches import place_batch, write_batch
 from ..streaming.snapshots import read_newest_snapshot
 from .maintenance import compact_and_verify, hours_needing_compaction, tick_view
 
@@ -300,6 +303,12 @@ def latest_ticks_recent(spark, sf_dir):
     return ops.latest_ticks_recent(lake, 5, as_of=as_of)
 
 
+@query
+def latest_ticks_by_path(spark, sf_dir):
+    """The newest rows of the raw lake, searched from the newest hour down."""
+    return ops.latest_ticks_at(spark, raw_lake(spark, sf_dir), 5)
+
+
 @query
 def ticker_tail(spark, sf_dir):
     return ops.ticker_tail(ticks_of(spark, sf_dir), 20)
@@ -695,6 +704,19 @@ def restarted_tick_stream(spark, sf_dir):
     return ops.ticks_by_partition(read_ticks(spark, f"{root}/raw", LAKE_SCHEMA))
 
 
+@query
+def ticks_after_dead_batch(spark, sf_dir):
+    """Three batches, the second of which dies once after its files are written: every tick once."""
+    raw, ticks = scratch_path(spark, "raw"), ticks_of(spark, sf_dir)
+    share = F.pmod(F.xxhash64("ticker", "ts"), F.lit(3))
+    for number in range(3):
+        rows = gather_partitions(ticks.where(share == number), PARTITION_COLS, SPREAD)
+        if number == 1:
+            begin_batch(spark, raw, f"stream-{number}", lambda attempt: place_batch(rows, raw, attempt, PARTITION_COLS))
+        write_batch(rows, raw, f"stream-{number}", PARTITION_COLS)
+    return read_ticks(spark, raw, LAKE_SCHEMA)
+
+
 @query
 def quarantine_stream(spark, sf_dir):
     """Damaged messages through the same ingest: counts of both sides."""

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import INVENTORY_SCHEMA, LAKE_SCHEMA, PARTITION_COLS
+from ..schema import BATCH_COL, INVENTORY_SCHEMA, LAKE_SCHEMA
+from .commits import RUN_COL
 from .lake import path_is_missing
+from .newest import newest_files_by_name
 
 # Fixed value: a file counts as Parquet by its suffix, in any letter case.
 PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
@@ -18,8 +20,8 @@ def file_inventory(spark: SparkSession, base: str, min_size: int = 0) -> DataFra
     """Every Parquet file below ``base`` with its size and modification time.
 
     The suffix is applied while listing and the file bodies are never opened. Names that start
-    with ``_`` or ``.`` and files of zero bytes are invisible, as everywhere in Spark; below a root that a stream writes,
-    only files that its log has committed are listed. A missing root lists no files.
+    with ``_`` or ``.`` and files of zero bytes are invisible, as everywhere in Spark; files of batches that are not
+    published are there, and listed. A missing root lists no files.
     """
     reader = (
         spark.read.format("binaryFile")
@@ -45,11 +47,6 @@ def read_inventory(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def partition_value(key: str, name: str) -> Column:
-    """The integer in the ``name=...`` segment of a file key, NULL if there is none."""
-    return F.regexp_extract(key, rf"(?:^|/){name}=([^/]+)/", 1).try_cast("int")
-
-
 def read_latest_files(
     spark: SparkSession,
     base: str,
@@ -60,23 +57,17 @@ def read_latest_files(
     """Read the ``n`` newest files of a table.
 
     ``by="mtime"``: newest modification time first, empty files skipped, an error if there are
-    none. ``by="name"``: highest hour directory first (as numbers), then file name; no files
-    give an empty DataFrame. Only the ``n`` chosen paths pass through the driver; files are
-    combined by column name.
+    none. ``by="name"``: highest hour directory first (as numbers), then file name, found without
+    listing older directories; no files give an empty DataFrame. Only the ``n`` chosen paths pass through the
+    driver; files are combined by column name.
     """
     if by == "mtime":
-        newest = file_inventory(spark, base, min_size=1).orderBy(
-            F.desc("last_modified"), F.desc("key")
-        )
+        newest = file_inventory(spark, base, min_size=1).orderBy(F.desc("last_modified"), F.desc("key"))
+        paths = [row.key for row in newest.select("key").limit(n).collect()]
     elif by == "name":
-        newest = file_inventory(spark, base).orderBy(
-            *[F.desc_nulls_last(partition_value("key", name)) for name in PARTITION_COLS],
-            F.desc(F.element_at(F.split("key", "/"), -1)),
-        )
+        paths = newest_files_by_name(spark, base, n)
     else:
         raise ValueError(f"by must be 'mtime' or 'name', not {by!r}")
-
-    paths = [row.key for row in newest.select("key").limit(n).collect()]
     if not paths:
         if by == "mtime":
             raise FileNotFoundError(f"no non-empty Parquet file below {base}")
@@ -84,4 +75,4 @@ def read_latest_files(
     reader = spark.read.option("basePath", base).option("mergeSchema", "true")
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(*paths)
+    return reader.parquet(*paths).drop(BATCH_COL, RUN_COL)

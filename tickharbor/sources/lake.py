@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from ..functions.parsing import with_time_partitions
 from ..functions.partitions import Spec, Specs, as_specs, hour_key, hour_key_of, partition_predicate
-from ..schema import BATCH_COL, PARTITION_COLS, TICK_SCHEMA
+from ..schema import BATCH_COL, LAKE_SCHEMA, PARTITION_COLS, TICK_SCHEMA
+from .commits import RUN_COL, PublishedBatches, compacted_hours, folders_of, published_batches
 from .paths import matching
 
 
@@ -24,20 +25,29 @@ def read_ticks(spark: SparkSession, base: str, schema: T.StructType | None = Non
     """Scan a whole table; Hive directories become partition columns.
 
     Passing the schema (partition columns included) saves the job that reads a footer to infer it.
-    The directories of a stream's batches are no column.
+    The directories of a stream's batches and of compaction runs are no columns; batches and runs that are
+    not published are not seen (``commits``).
     """
+    hours = compacted_hours(spark, base)
+    if hours is not None:
+        return read_hours(spark, base, hours, schema)
+    seen = published_batches(spark, base)
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(base).drop(BATCH_COL)
+    return only_published(reader.parquet(base), seen).drop(BATCH_COL)
 
 
-def read_ticks_or_empty(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
-    """Like :func:`read_ticks`, but a root that does not exist yet is an empty table."""
-    try:
-        return read_ticks(spark, base, schema)
-    except AnalysisException as error:
-        if not path_is_missing(error):
-            raise
-        return spark.createDataFrame([], schema)
+def read_hours(spark: SparkSession, base: str, hours: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """Scan some of a root's ``compacted_hours``; only their directories are listed."""
+    folders = folders_of(hours, base)
+    if not folders:
+        return spark.createDataFrame([], schema or LAKE_SCHEMA)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("basePath", base).parquet(*folders).drop(RUN_COL)
+
+
+def only_published(table: DataFrame, seen: PublishedBatches | None) -> DataFrame:
+    """Without the directories of batches that did not count when ``seen`` was read, before the listing."""
+    return table if seen is None or BATCH_COL not in table.columns else table.where(seen.visible())
 
 
 def read_partitions(
@@ -51,25 +61,19 @@ def read_partitions(
     Only those are listed, if each spec begins with the outermost columns (year; year and month; ...).
     """
     chosen = as_specs(specs)
+    hours = compacted_hours(spark, base)
+    if hours is not None:
+        return read_hours(spark, base, hours.where(partition_predicate(chosen)), schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return load_partitions(spark, reader.format("parquet"), base, chosen).drop(BATCH_COL)
 
 
-def read_partitions_or_empty(spark: SparkSession, base: str, specs: Specs, schema: T.StructType) -> DataFrame:
-    """Like :func:`read_partitions`, but a root that does not exist yet is an empty table."""
-    try:
-        return read_partitions(spark, base, specs, schema)
-    except AnalysisException as error:
-        if not path_is_missing(error):
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def load_partitions(spark: SparkSession, reader: DataFrameReader, base: str, specs: list[Spec]) -> DataFrame:
-    """What the specs select of a root, in any file format."""
+    """What the specs select of the published part of a root that is not compacted, in any file format."""
+    seen = published_batches(spark, base)
     folders = _folders(spark, base, specs)
     table = reader.option("basePath", base).load(folders) if folders else reader.load(base)
-    return table.where(partition_predicate(specs))
+    return only_published(table, seen).where(partition_predicate(specs))
 
 
 def _folders(spark: SparkSession, base: str, specs: list[Spec]) -> list[str]:

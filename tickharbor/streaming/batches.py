@@ -1,9 +1,10 @@
 """Appends of micro-batches that are exactly once without a log of all files.
 
-The rows of a batch go to directories named after the query's checkpoint and the batch, below the
-other partition directories. A batch that is run again replaces its own directories: it has the same
-offsets and every row's place follows from its message, so it fills the same ones. Another checkpoint
-has another id, so counting from 0 again replaces nothing. Readers drop the name: ``read_ticks``.
+Each attempt at a batch writes to directories of its own, named after the query's checkpoint, the batch and
+the attempt, below the other partition directories. It counts from the moment its record is created
+(``sources.commits``), so a reader sees a batch whole or not at all, also where an attempt died half way; a batch
+that is run again finds its record, or makes another attempt. Another checkpoint has another id, so
+counting from 0 again replaces nothing. Readers drop the name: ``read_ticks``.
 """
 
 from __future__ import annotations
@@ -15,19 +16,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.sinks import PLACED_BY_TASKS
 from ..schema import BATCH_COL
+from ..sources.commits import publish_batch
 
 
-def write_batch(rows: DataFrame, path: str, batch: str, partition_cols: Sequence[str] = ()) -> None:
+def place_batch(rows: DataFrame, path: str, attempt: str, partition_cols: Sequence[str] = ()) -> None:
+    """Write the files of an attempt. Tasks put them in place as they end; the driver moves nothing."""
     (
-        rows.withColumn(BATCH_COL, F.lit(batch))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        rows.withColumn(BATCH_COL, F.lit(attempt))
+        .write.mode("append")
+        .options(**PLACED_BY_TASKS)
         .partitionBy(*partition_cols, BATCH_COL)
         .parquet(path)
     )
 
 
+def write_batch(rows: DataFrame, path: str, batch: str, partition_cols: Sequence[str] = ()) -> None:
+    """Append and publish the rows of a batch, unless it is published. One stream writes to a root at a time."""
+    publish_batch(
+        rows.sparkSession, path, batch, lambda attempt: place_batch(rows, path, attempt, partition_cols)
+    )
+
+
 def start_batches(
     stream: DataFrame,
     checkpoint: str,

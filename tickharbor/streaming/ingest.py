@@ -36,8 +36,7 @@ def write_tick_stream(
 
     ``trigger=None`` starts the next batch as soon as the last one is done;
     ``available_now`` processes what is there, in bounded batches, and stops. After a restart from
-    the same checkpoint nothing is missing and nothing is there twice: see ``batches``. A batch that
-    failed while its files were moved into place may show a part of its rows until it is repeated.
+    the same checkpoint nothing is missing and nothing is there twice, and readers see batches whole: see ``batches``.
 
     Live data needs no shuffle before the write: it is all in the current hour, and the small
     files are what compaction is for. A backfill has many hours in each batch, and every task

@@ -8,10 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.times import event_time
 from .ingest import TRIGGER
-from ..sources.lake import read_ticks
-from .batches import start_batches, write_batch
+from .batches import start_batches
+from .runs import read_changes, write_changes
 from .snapshots import write_snapshot
 
+_KEYS = ("window_start", "window_end", "ticker")
+
 
 def windowed_ticker_stats(
     ticks: DataFrame,
@@ -59,15 +61,17 @@ def write_window_stats(
     """Write window statistics as they develop.
 
     ``append`` writes each window once, after the watermark has passed its end, through the
-    exactly-once file sink. ``update`` adds what changed in each batch, open windows too, while the
-    watermark keeps the state bounded; read it with :func:`read_window_stats`. ``complete`` replaces
+    exactly-once file sink. ``update`` adds what changed in each batch, open windows too, and merges the
+    changes as they grow in number, while the watermark keeps the state bounded; read it with :func:`read_window_stats`. ``complete`` replaces
     the whole result after every batch and keeps every window in the state: for short or bounded
     streams; read it with ``read_newest_snapshot``. Use one ``path`` per checkpoint.
     """
     if mode not in ("append", "update", "complete"):
         raise ValueError(f"mode must be 'append', 'update' or 'complete', not {mode!r}")
     if mode == "update":
-        return start_batches(stats, checkpoint, _add_changes(path), trigger, available_now, mode)
+        return start_batches(
+            stats, checkpoint, lambda rows, _, batch_id: write_changes(rows, path, batch_id, _KEYS), trigger, available_now, mode
+        )
     writer = stats.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if mode == "append":
         writer = writer.format("parquet").option("path", path)
@@ -80,17 +84,6 @@ def write_window_stats(
     return writer.start()
 
 
-def _add_changes(path: str):
-    def add(rows: DataFrame, batch: str, batch_id: int) -> None:
-        write_batch(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, batch)
-
-    return add
-
-
 def read_window_stats(spark: SparkSession, path: str) -> DataFrame:
-    """The newest state of every window that ``update`` mode has written."""
-    changes = read_ticks(spark, path)
-    keys = ["window_start", "window_end", "ticker"]
-    values = [name for name in changes.columns if name not in (*keys, "batch_id")]
-    newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("newest"))
-    return newest.select(*keys, "newest.*")
+    """The newest state of every window that ``update`` mode has written, from a bounded number of files (``runs``)."""
+    return read_changes(spark, path, _KEYS)
