@@ -74,28 +74,41 @@ def without_shared_lines(
 
     Adds ``n_lines`` and ``n_removed``; the kept lines stay as they were, in order. NULL texts stay
     NULL with one (empty) line. Rows without a ``doc_id`` are counted as users of a line but stay whole;
-    rows that repeat a ``doc_id`` are treated alike. Other columns of ``docs`` stay.
+    rows that repeat a ``doc_id`` are treated alike. Other columns of ``docs`` stay, whatever their names, but that
+    a column called ``n_lines`` or ``n_removed`` is replaced. No rows give none.
     """
+    names = [name for name in docs.columns if name.lower() not in ("n_lines", "n_removed")]
+    docs = docs.select(*[F.col(f"`{name}`") for name in names])
+    own_doc, own_lines, own_kept, own_text = _free(names, "dropped_doc", "dropped_lines", "kept_lines", "new_text")
     shared, seen = shared_lines(docs.select("doc_id", "source", "text"), min_sites, min_chars, lg_registers)
     dropped = (
         seen.join(shared.select(*_KEY), _KEY, "left_semi")
         .where("doc_id <> home")
-        .groupBy(F.col("doc_id").alias("dropped_doc"))
-        .agg(F.collect_set(F.struct(*_KEY)).alias("dropped_lines"))
+        .groupBy(F.col("doc_id").alias(own_doc))
+        .agg(F.collect_set(F.struct(*_KEY)).alias(own_lines))
     )
-    lines, drops = _lines(F.col("text")), F.col("dropped_lines")
+    lines, drops = _lines(F.col("text")), F.col(own_lines)
 
     def stays(line: Column) -> Column:
         return ~F.array_contains(drops, F.struct(*_line_keys(_trimmed(line))))
 
     kept = F.when(drops.isNull(), lines).otherwise(F.filter(lines, stays))
-    names = docs.columns
-    joined = docs.join(dropped, docs.doc_id == F.col("dropped_doc"), "left").withColumn("kept_lines", kept)
-    text = F.when(F.col("dropped_lines").isNull(), F.col("text")).otherwise(F.array_join("kept_lines", "\n"))
+    joined = docs.join(dropped, docs.doc_id == F.col(own_doc), "left").withColumn(own_kept, kept)
+    text = F.when(F.col(own_lines).isNull(), F.col("text")).otherwise(F.array_join(own_kept, "\n"))
     return joined.withColumns(
         {
             "n_lines": F.size(lines).cast("bigint"),
-            "n_removed": (F.size(lines) - F.size("kept_lines")).cast("bigint"),
-            "new_text": text,
+            "n_removed": (F.size(lines) - F.size(own_kept)).cast("bigint"),
+            own_text: text,
         }
-    ).select(*[F.col("new_text").alias("text") if n == "text" else F.col(n) for n in names], "n_lines", "n_removed")
+    ).select(*[F.col(own_text).alias("text") if n == "text" else F.col(f"`{n}`") for n in names], "n_lines", "n_removed")
+
+
+def _free(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores as keep it apart from a column."""
+    used, out = {name.lower() for name in taken}, []
+    for name in names:
+        while name in used:
+            name = f"{name}_"
+        out.append(name)
+    return out

@@ -240,20 +240,24 @@ def protected_spans(docs: DataFrame, disclosure: float = DISCLOSURE, min_documen
 
 
 def sanitised(docs: DataFrame, disclosure: float = DISCLOSURE, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """``docs`` with every span of :func:`protected_spans` replaced by its kind in brackets.
+    """``docs`` with every span of :func:`protected_spans` replaced by its kind in brackets, row by row.
 
-    Rows are matched by ``doc_id``, which has to be unique; a row without one is returned as it is found alone.
+    Rows are numbered first, so that NULL and repeated ids make no difference. NULL texts stay NULL; other columns
+    stay, whatever their names.
     """
-    spans_of = protected_spans(docs, disclosure, min_documents).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans_of, docs.doc_id == F.col("_id"), "left").drop("_id")
+    number = "row_number"
+    while number in (name.lower() for name in docs.columns):
+        number += "_"
+    rows = stage(docs.withColumn(number, F.monotonically_increasing_id()), "pii-rows")
+    spans_of = protected_spans(rows.select(F.col(number).alias("doc_id"), "text"), disclosure, min_documents)
+    listed = f"{number}_spans"
+    joined = rows.join(spans_of.select(F.col("doc_id").alias(number), F.col("spans").alias(listed)), number)
     schema = docs.schema
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, own in zip(column_of(batch, "text").to_pylist(), column_of(batch, "_spans").to_pylist()):
-                if text is not None and own is None:
-                    own = ",".join(f"{k}:{a}:{b}" for k, a, b in base_spans(text))
+            for text, own in zip(column_of(batch, "text").to_pylist(), column_of(batch, listed).to_pylist()):
                 texts.append(text if not own else generalised(text, own))
             at = batch.schema.get_field_index("text")
             out = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))

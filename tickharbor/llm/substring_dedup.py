@@ -37,7 +37,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     own = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1).cast("bigint"))
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text")).withColumns(
-        {"doc": own, "text_key": F.hash("text")}
+        {"doc": own, "text_key": F.xxhash64("text")}
     )
 
 
@@ -81,7 +81,7 @@ def find_anchors(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 names = ["anchor", "around", *_DOC, "at", "size"]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    schema = "anchor bigint, around bigint, doc bigint, text_key int, at int, size int"
+    schema = "anchor bigint, around bigint, doc bigint, text_key bigint, at int, size int"
     return docs.select(*_DOC, "text").mapInArrow(find, schema)
 
 
@@ -154,12 +154,12 @@ def _surroundings(needed: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                     rows = []
             yield _places(rows)
 
-    return joined.mapInArrow(cut, "anchor bigint, doc bigint, text_key int, at bigint, cut bigint, around binary")
+    return joined.mapInArrow(cut, "anchor bigint, doc bigint, text_key bigint, at bigint, cut bigint, around binary")
 
 
 def _places(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * 6
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
     return pa.RecordBatch.from_arrays(arrays, ["anchor", *_DOC, "at", "cut", "around"])
 
@@ -183,7 +183,7 @@ def _grouped_spans(places: DataFrame, length: int) -> DataFrame:
             yield _spans_of(pa.Table.from_batches(rest), length)
 
     dealt = places.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(rounds, "doc bigint, text_key int, low bigint, high bigint")
+    return dealt.mapInArrow(rounds, "doc bigint, text_key bigint, low bigint, high bigint")
 
 
 def _spans_of(table: pa.Table, length: int) -> pa.RecordBatch:
@@ -216,7 +216,7 @@ def _counted_spans(places: DataFrame, length: int) -> DataFrame:
                     data = np.frombuffer(around.as_buffer(), dtype=np.uint8)
                     begin = np.arange(max(cut - reach, 0), min(cut, len(data) - length) + 1)
                     n = len(begin)
-                    own = [np.full(n, anchor, np.int64), np.full(n, doc, np.int64), np.full(n, key, np.int32)]
+                    own = [np.full(n, anchor, np.int64), np.full(n, doc, np.int64), np.full(n, key, np.int64)]
                     # With the anchor's place: a window that holds the anchor twice is still one window.
                     own_hash = mix(SpanHash(data)(begin, begin + length) + (cut - begin).astype(np.uint64))
                     rows.append([*own, at - cut + begin, own_hash.view(np.int64)])
@@ -225,7 +225,7 @@ def _counted_spans(places: DataFrame, length: int) -> DataFrame:
                     continue
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in flat], ["anchor", *_DOC, "low", "window"])
 
-    schema = "anchor bigint, doc bigint, text_key int, low bigint, window bigint"
+    schema = "anchor bigint, doc bigint, text_key bigint, low bigint, window bigint"
     table = stage(places.mapInArrow(windows, schema), "windows")
     several = table.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     found = table.join(several, ["anchor", "window"], "left_semi")
@@ -236,7 +236,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group_members: int = G
     """``doc, text_key, low, high``: byte spans that repeated strings of ``length`` bytes cover, in parts that overlap."""
     reach = length - ANCHOR
     every = stage(find_anchors(docs, length), "anchors")
-    twice = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # Sides that a join has in groups are written first: of two shuffled scans, Spark can split a hot anchor.
+    twice = stage(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "twice")
     places = stage(every.join(twice, "anchor", "left_semi"), "shared-anchors")
     same = places.groupBy("anchor", "around").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(*_DOC, "at")).alias("first")
@@ -248,6 +249,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group_members: int = G
     spans = settled.select(*_DOC, low.alias("low"), F.least(F.col("at") + length, F.col("size")).alias("high"))
 
     several = surroundings.groupBy("anchor").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    several = stage(several, "several")
     needed = stage(surroundings.join(several, "anchor").select("anchor", "first.*", "members"), "places")
     few = needed.where(F.col("members") <= group_members)
     spans = spans.unionByName(_grouped_spans(_surroundings(few, docs, length), length))
