@@ -9,7 +9,10 @@ from tests.oracle import differences
 from tickharbor.plans.oracles import ORACLES
 from tickharbor.plans.registry import QUERIES
 
-LAKE_QUERIES = ["compacted_rows", "repeated_compaction", "latest_ticks_recent", "last_files_by_name", "ticks_view_late", "ticks_view"]
+LAKE_QUERIES = [
+    "compacted_rows", "repeated_compaction", "latest_ticks_recent", "latest_ticks_by_path", "last_files_by_name", "ticks_view_late",
+    "ticks_view", "lake_inventory", "compaction_report", "verified_compaction", "ticks_after_dead_batch",
+]
 
 
 @pytest.fixture(scope="module")

@@ -182,7 +182,7 @@ _lakes: dict[tuple[str, str], str] = {}
 def raw_lake(spark: SparkSession, sf_dir: str) -> str:
     """An hour-partitioned lake of all ticks, written once per application in three appends.
 
-    Signups, then the rest, then the newest hour.
+    Signups, then the rest, then the newest hour; one file per hour and append, however the input is split.
     """
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _lakes:
@@ -191,7 +191,7 @@ def raw_lake(spark: SparkSession, sf_dir: str) -> str:
         newest = ticks.agg(F.max(hour_key()).alias("hour")).first().hour
         older, signup = hour_key() < newest, F.col("ticker") == "signup"
         for part in (older & signup, older & ~signup, hour_key() == newest):
-            ops.save_table(ticks.where(part), path, PARTITION_COLS, mode="append", spread=SPREAD)
+            ops.save_table(ticks.where(part), path, PARTITION_COLS, mode="append", spread=1)
         _lakes[at] = path
     return _lakes[at]
 
