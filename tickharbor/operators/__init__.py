@@ -11,6 +11,7 @@ from .aggregates import (
     ticks_by_partition,
 )
 from .compaction import CompactionError, compact_partitions, partition_stats
+from .history import file_history, inventory_as_of, inventory_changes_between, keep_snapshot, read_snapshot
 from .inventory import (
     assert_compaction,
     compaction_reduction,
@@ -35,11 +36,15 @@ __all__ = [
     "compact_partitions",
     "compaction_reduction",
     "daily_avg_price",
+    "file_history",
     "first_model",
+    "inventory_as_of",
     "inventory_by_group",
     "inventory_by_partition",
+    "inventory_changes_between",
     "inventory_diff",
     "inventory_summary",
+    "keep_snapshot",
     "largest_files",
     "latest_ticks",
     "latest_ticks_at",
@@ -50,6 +55,7 @@ __all__ = [
     "preview",
     "price_bands",
     "price_trend",
+    "read_snapshot",
     "record_count_by_ticker",
     "require_compaction",
     "save_inventory",

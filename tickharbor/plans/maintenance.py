@@ -12,12 +12,11 @@ from pyspark.sql import types as T
 
 from ..functions.partitions import ALL_HOURS, Specs, as_specs, hour_key, partition_predicate
 from ..operators.compaction import MAX_FILE_BYTES, fingerprints, listed_files, run_compaction
+from ..operators.history import keep_snapshot, read_snapshot
 from ..operators.inventory import assert_compaction, require_compaction
-from ..operators.sinks import save_inventory
 from ..schema import LAKE_SCHEMA, PARTITION_COLS
 from ..scratch import stage
 from ..sources.commits import compacted_hours
-from ..sources.inventory import read_inventory
 from ..sources.lake import read_hours, read_partitions, read_ticks
 
 
@@ -53,7 +52,7 @@ def compact_and_verify(
 ) -> VerifiedCompaction:
     """Compact the selected hours, keep file snapshots from before and after, and check them.
 
-    The snapshots, kept below ``snapshots``, cover the files that were compacted and the files
+    The snapshots, each in a folder of its own below ``snapshots/before`` and ``snapshots/after``, cover the files that were compacted and the files
     they became, so what the stream adds meanwhile does not disturb the comparison. Row counts
     must agree in every case; the file-count target is that of ``assert_compaction``.
     """
@@ -68,8 +67,7 @@ def compact_and_verify(
 
 
 def _snapshot(spark: SparkSession, files: DataFrame, root: str, path: str) -> DataFrame:
-    save_inventory(files.select("key", "size", "last_modified"), path, root)
-    return read_inventory(spark, path)
+    return read_snapshot(spark, keep_snapshot(files, path, root))
 
 
 _SOURCE = ["source_files", "source_bytes", "source_hash"]

@@ -176,6 +176,24 @@ ORACLES: dict[str, str] = {
                b.size AS size_before, a.size AS size_after
         FROM b FULL OUTER JOIN a ON b.key = a.key
         WHERE b.key IS NULL OR a.key IS NULL OR b.size <> a.size""",
+    "file_history": f"""WITH {_FILES}, s AS (
+          SELECT 1 AS n, key, size FROM files WHERE o_orderstatus <> 'P'
+          UNION ALL SELECT 2, key, size + CAST(o_orderstatus = 'F' AS INTEGER) FROM files WHERE o_orderpriority <> '1-URGENT'
+          UNION ALL SELECT 3, key, size FROM files WHERE o_orderstatus = 'O'
+          UNION ALL SELECT 4, key, size FROM files WHERE o_orderstatus <> 'P'),
+        g AS (SELECT key, size, n, n - row_number() OVER (PARTITION BY key, size ORDER BY n) AS stay FROM s)
+        SELECT key, size, TIMESTAMP '2023-12-31' + to_days(CAST(min(n) AS INTEGER)) AS valid_from,
+               CASE WHEN max(n) < 4 THEN TIMESTAMP '2024-01-01' + to_days(CAST(max(n) AS INTEGER)) END AS valid_to
+        FROM g GROUP BY key, size, stay""",
+    "inventory_as_of": f"""WITH {_FILES}
+        SELECT key, size + CAST(o_orderstatus = 'F' AS INTEGER) AS size FROM files WHERE o_orderpriority <> '1-URGENT'""",
+    "inventory_changes_between": f"""WITH {_FILES},
+        b AS (SELECT key, size + CAST(o_orderstatus = 'F' AS INTEGER) AS size FROM files WHERE o_orderpriority <> '1-URGENT'),
+        a AS (SELECT key, size FROM files WHERE o_orderstatus <> 'P')
+        SELECT coalesce(b.key, a.key) AS key,
+               CASE WHEN b.key IS NULL THEN 'added' WHEN a.key IS NULL THEN 'removed' ELSE 'size_changed' END AS change,
+               b.size AS size_before, a.size AS size_after
+        FROM b FULL JOIN a ON a.key = b.key WHERE b.key IS NULL OR a.key IS NULL OR a.size <> b.size""",
     "inventory_snapshot": f"""WITH {_FILES}
         SELECT key, size, last_modified, 'tick-lake' AS base FROM files""",
     "compaction_reduction": f"""WITH {_FILES}, n AS (

@@ -473,6 +473,31 @@ def inventory_snapshot(spark, sf_dir):
     return read_inventory(spark, path).drop("snapshot_at")
 
 
+def kept_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of four daily snapshots; the last one has the files of the first again."""
+    root = scratch_path(spark, "snapshots")
+    for number, files in enumerate((files_before, files_after, files_kept, files_before), 1):
+        ops.keep_snapshot(files(spark, sf_dir), root, "tick-lake", dt.datetime(2024, 1, number))
+    return ops.file_history(spark, root)
+
+
+@query
+def file_history(spark, sf_dir):
+    return kept_snapshots(spark, sf_dir).drop("last_modified")
+
+
+@query
+def inventory_as_of(spark, sf_dir):
+    """The files at noon of the second day."""
+    return ops.inventory_as_of(kept_snapshots(spark, sf_dir), dt.datetime(2024, 1, 2, 12)).select("key", "size")
+
+
+@query
+def inventory_changes_between(spark, sf_dir):
+    """From the evening of the second day to the fourth."""
+    return ops.inventory_changes_between(kept_snapshots(spark, sf_dir), "2024-01-02 20:00:00", "2024-01-04 00:00:00")
+
+
 @query
 def compaction_reduction(spark, sf_dir):
     return ops.compaction_reduction(files_before(spark, sf_dir), files_kept(spark, sf_dir))

@@ -43,8 +43,12 @@ def file_inventory(spark: SparkSession, base: str, min_size: int = 0) -> DataFra
 
 
 def read_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Load a snapshot written by ``save_inventory``."""
-    return spark.read.parquet(path)
+    """Load a snapshot written by ``save_inventory`` or ``keep_snapshot``; of a folder of kept ones, the newest."""
+    rows = spark.read.parquet(path)
+    if "snapshot" in rows.columns:
+        newest = rows.agg(F.max_by("snapshot", "snapshot_at").alias("snapshot")).first().snapshot
+        rows = rows.where(F.col("snapshot") == newest).drop("snapshot")
+    return rows.where("key IS NOT NULL")
 
 
 def read_latest_files(
