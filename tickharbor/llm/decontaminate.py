@@ -2,15 +2,15 @@
 
 The index holds, for each segment (consecutive documents of one task), the word positions of every
 term. Benchmark windows are looked up by intersecting the lists of their terms, shifted by the
-term's place in the window, from the rarest term on; what is left are exact phrase matches. A
-document is never split over segments, so every segment answers for itself and no text is shuffled.
+term's place in the window, from the rarest term on; what is left are exact phrase matches. Proximity
+matches start from the places of the rarest terms too, and count the others around them. A
+document is never split over segments, so every segment answers for itself and no text is shuffled;
+the windows are a table that is joined to the lists, and never in the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +23,13 @@ from .text_blocks import LETTERS, Block, SpanHash, blocks, column_of, member, sp
 
 WINDOW = 10
 SEGMENT_WORDS = 1_500_000
-#: So many benchmark items at most are in the driver, and sent to the tasks, at once.
-ITEMS_AT_ONCE = 2_000
+#: A proximity match lies within so many words, and may lack one in so many of the distinct words of a window.
+REACH, MISSING_ONE_IN = 15, 5
+#: So many windows at most meet a segment at once.
+WINDOWS_TOGETHER = 50_000
 _INDEX = "segment bigint, term bigint, n bigint, postings binary"
+_NOWHERE = np.zeros(0, dtype=np.int64)
+_KINDS = {"item_ids": "exact", "near_item_ids": "NOT exact"}
 
 
 def term_hashes(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -117,36 +121,53 @@ def build_index(docs: DataFrame, segment_words: int = SEGMENT_WORDS) -> DataFram
     return stage(chosen.mapInArrow(build, _INDEX), "postings")
 
 
-@dataclass
-class Items:
-    """Benchmark items: id and term hashes of each."""
+def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``item, item_id, terms`` of every window of ``window`` words of ``benchmark`` (``item_id, text``).
 
-    ids: list[int | None]
-    terms: list[np.ndarray]
-
-    def windows(self, size: int) -> list[tuple[int, np.ndarray]]:
-        """Item number and terms of each window of ``size`` words; a shorter item is one window."""
-        return [
-            (i, terms[at : at + size])
-            for i, terms in enumerate(self.terms)
-            if len(terms)
-            for at in range(max(len(terms) - size, 0) + 1)
-        ]
+    ``item`` numbers the rows. A shorter item is one window; one without words, or NULL, has none.
+    """
 
-    @property
-    def vocabulary(self) -> np.ndarray:
-        return np.unique(np.concatenate([*self.terms, np.zeros(0, np.int64)]))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            own = column_of(batch, "item_id")
+            for block in blocks(column_of(batch, "text"), 1 << 18):
+                hashes, firsts = term_hashes(block)
+                rows = [
+                    (number + i, own[block.first + i].as_py(), terms[at : at + window])
+                    for i, terms in enumerate(np.split(hashes, firsts[1:-1]))
+                    if len(terms)
+                    for at in range(max(len(terms) - window, 0) + 1)
+                ]
+                number += block.size
+                kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                arrays = [pa.array(c, kind) for c, kind in zip(list(zip(*rows)) or [()] * 3, kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, ["item", "item_id", "terms"])
+
+    chosen = benchmark.selectExpr("CAST(item_id AS BIGINT) AS item_id", "text")
+    return stage(chosen.mapInArrow(cut, "item bigint, item_id bigint, terms array<bigint>"), "item-windows")
+
+
+def ranked_windows(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """``item, item_id, window, ranked``: the terms of each window with their places in it, from the rarest on.
+
+    Rare is what the whole index holds least often, so what a segment answers does not depend on the others
+    in it; a term that the index does not hold at all comes first.
+    """
+    numbered = windows.withColumn("window", F.monotonically_increasing_id())
+    placed = numbered.select("item", "item_id", "window", F.posexplode("terms").alias("place", "term"))
+    used = stage(placed.select("term").distinct(), "item-terms")
+    counts = index.join(used, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("total"))
+    entry = F.struct(F.coalesce("total", F.lit(0)).alias("total"), "term", "place")
+    ranked = placed.join(counts, "term", "left").groupBy("item", "item_id", "window").agg(
+        F.transform(F.sort_array(F.collect_list(entry)), lambda e: F.struct(e["term"], e["place"])).alias("ranked")
+    )
+    return stage(ranked, "ranked-windows")
 
 
-def benchmark_items(benchmark: DataFrame, at_once: int = ITEMS_AT_ONCE) -> Iterator[Items]:
-    """The items in groups of at most ``at_once``; the driver holds one group at a time."""
-    rows = benchmark.selectExpr("CAST(item_id AS BIGINT) AS item_id", "text").toLocalIterator()
-    for group in batched(rows, at_once):
-        block_terms = []
-        for block in blocks(pa.array([row.text for row in group], pa.string())):
-            hashes, firsts = term_hashes(block)
-            block_terms += np.split(hashes, firsts[1:-1])
-        yield Items([row.item_id for row in group], block_terms)
+def may_miss(distinct: int) -> int:
+    """How many of the distinct terms of a window a proximity match may lack."""
+    return distinct // MISSING_ONE_IN
 
 
 class Segment:
@@ -164,112 +185,115 @@ class Segment:
     def owner(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.firsts, at, "right") - 1
 
-    def phrase(self, terms: np.ndarray) -> np.ndarray:
-        """Where these terms stand one after the other in one document."""
+    def phrase(self, terms: list[int], places: list[int]) -> np.ndarray:
+        """Where terms stand one after the other in one document; they come with their places, from the rarest on."""
         lists = self.lists
-        if any(t not in lists for t in terms.tolist()):
+        if any(t not in lists for t in terms):
             return np.zeros(0, np.int64)
-        order = sorted(range(len(terms)), key=lambda i: len(lists[terms[i]]))
-        at = lists[terms[order[0]]] - order[0]
-        for i in order[1:]:
+        at = lists[terms[0]] - places[0]
+        for term, place in zip(terms[1:], places[1:]):
             if not len(at):
                 return at
-            at = at[member(at + i, lists[terms[i]])]
+            at = at[member(at + place, lists[term])]
         at = at[at >= 0]
         return at[at + len(terms) <= self.firsts[self.owner(at) + 1]] if len(at) else at
 
-    def near(self, terms: np.ndarray, slop: int) -> np.ndarray:
-        """Where the rarest of these terms stands with all the others within ``slop`` words, in any order."""
-        lists = self.lists
-        if not len(terms) or any(t not in lists for t in terms.tolist()):
-            return np.zeros(0, np.int64)
-        first, *rest = sorted(set(terms.tolist()), key=lambda t: len(lists[t]))
-        at = lists[first]
+    def near(self, terms: list[int], reach: int, done: set[int]) -> Iterator[tuple[int, int, int]]:
+        """Document, first and last word of a match in each document that is not in ``done``, which grows by it.
+
+        A match is a run of at most ``reach`` words of a document that holds all but :func:`may_miss` of the
+        distinct ``terms``, which come from the rarest on. It holds one of the rarest but so many, so only
+        what stands around these is looked at; a place is given up once too many terms are missing there.
+        """
+        distinct = list(dict.fromkeys(terms))
+        lacking = may_miss(len(distinct))
+        lists = [self.lists.get(t, _NOWHERE) for t in distinct]
+        at = np.sort(np.concatenate(lists[: lacking + 1]))
         owner = self.owner(at)
-        low, high = np.maximum(at - slop, self.firsts[owner]), np.minimum(at + slop + 1, self.firsts[owner + 1])
-        for t in rest:
-            found = np.searchsorted(lists[t], high) > np.searchsorted(lists[t], low)
-            at, low, high = at[found], low[found], high[found]
-        return at
-
-
-def _lookup(index: DataFrame, items: Items, find) -> DataFrame:
-    """Rows ``segment, place, item_id, low, high``: places of documents in segments, word spans in them."""
-
-    def look(rows: pa.Table) -> pa.Table:
-        segment = Segment(rows)
-        found: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for item, at, size in find(segment, items):
-            owner = segment.owner(at)
-            for place, low in zip(owner.tolist(), (at - segment.firsts[owner]).tolist()):
-                runs = found.setdefault((place, item), [])
-                if runs and runs[-1][0] <= low <= runs[-1][1]:
-                    runs[-1] = (runs[-1][0], max(runs[-1][1], low + size))
-                else:
-                    runs.append((low, low + size))
-        flat = [(place, items.ids[item], *run) for (place, item), runs in found.items() for run in runs]
-        columns = list(zip(*flat)) or [[]] * 4
-        number = pa.array([segment.number] * len(flat), pa.int64())
-        arrays = [number, *(pa.array(c, pa.int64()) for c in columns)]
-        return pa.Table.from_arrays(arrays, ["segment", "place", "item_id", "low", "high"])
-
-    spark = index.sparkSession
-    terms = [(int(t),) for t in items.vocabulary]
-    wanted = spark.createDataFrame(terms, "wanted bigint")
-    lists = index.join(wanted, index.term == F.col("wanted"), "left_semi").unionByName(index.where("term IS NULL"))
-    return lists.groupBy("segment").applyInArrow(look, "segment bigint, place bigint, item_id bigint, low bigint, high bigint")
-
-
-def _union(parts: list[DataFrame]) -> DataFrame | None:
-    out = None
-    for part in parts:
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def phrase_matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, at_once: int = ITEMS_AT_ONCE) -> DataFrame:
-    """Exact matches of benchmark windows: ``segment, place, item_id, low, high`` (word spans, merged by item).
-
-    A window is ``window`` consecutive words of an item; a shorter item is one window, one without
-    words has none. ``benchmark`` (``item_id, text``) is looked up in groups of ``at_once`` items.
-    """
-
-    def find(segment: Segment, items: Items):
-        for item, terms in items.windows(window):
-            at = segment.phrase(terms)
-            if len(at):
-                yield item, at, len(terms)
-
-    return _matches(index, benchmark, at_once, find)
-
-
-def proximity_matches(
-    index: DataFrame,
-    benchmark: DataFrame,
-    window: int = WINDOW,
-    rarest: int = 4,
-    slop: int = 12,
-    at_once: int = ITEMS_AT_ONCE,
-) -> DataFrame:
-    """Places where the ``rarest`` rarest terms of a benchmark window stand within ``slop`` words, in any order.
-
-    Rows as of :func:`phrase_matches`; the span is the word of the rarest term.
+        low, high = np.maximum(at - reach + 1, self.firsts[owner]), np.minimum(at + reach, self.firsts[owner + 1])
+        missing = np.zeros(len(at), dtype=np.int64)
+        for own in lists:
+            if not len(at):
+                return
+            missing += np.searchsorted(own, high) <= np.searchsorted(own, low)
+            left = missing <= lacking
+            at, owner, low, high, missing = (x[left] for x in (at, owner, low, high, missing))
+        for document, begin, end in zip(owner.tolist(), low.tolist(), high.tolist()):
+            if document in done:
+                continue
+            run = densest(lists, begin, end, reach, len(distinct) - lacking)
+            if run:
+                done.add(document)
+                yield document, *run
+
+
+def densest(lists: list[np.ndarray], begin: int, end: int, reach: int, needed: int) -> tuple[int, int] | None:
+    """The first run of at most ``reach`` of the words ``begin`` to ``end`` with ``needed`` different lists, if any."""
+    parts = [own[np.searchsorted(own, begin) : np.searchsorted(own, end)] for own in lists]
+    held = sorted((at, i) for i, part in enumerate(parts) for at in part.tolist())
+    for first, (low, _) in enumerate(held):
+        seen: set[int] = set()
+        for at, i in held[first:]:
+            if at >= low + reach:
+                break
+            seen.add(i)
+            if len(seen) == needed:
+                return low, at + 1
+    return None
+
+
+def window_matches(index: DataFrame, windows: DataFrame, reach: int = REACH, together: int = WINDOWS_TOGETHER) -> DataFrame:
+    """``segment, place, item_id, exact, low, high``: places of documents in segments, word spans in them.
+
+    ``exact`` rows are all occurrences of whole windows (spans merged by item), the others one
+    proximity match (:meth:`Segment.near`) for each document and item. ``windows`` as of :func:`item_windows`.
+    A segment meets the windows of which it holds one of the rarest terms, and the lists of their terms;
+    with more than ``together`` windows in all they are dealt into shares by item.
     """
-
-    def find(segment: Segment, items: Items):
-        for item, terms in items.windows(window):
-            own = sorted(set(terms.tolist()), key=lambda t: (len(segment.lists.get(t, ())), t))
-            at = segment.near(np.array(own[:rarest], np.int64), slop)
-            if len(at):
-                yield item, at, 1
-
-    return _matches(index, benchmark, at_once, find)
-
-
-def _matches(index: DataFrame, benchmark: DataFrame, at_once: int, find) -> DataFrame:
-    parts = [_lookup(index, items, find) for items in benchmark_items(benchmark, at_once)]
-    none = index.sparkSession.createDataFrame([], "segment bigint, place bigint, item_id bigint, low bigint, high bigint")
-    return _union(parts) if parts else none
+    ranked = ranked_windows(index, windows)
+    shares = -(-max(ranked.count(), 1) // together)
+    dealt = ranked.withColumn("share", F.pmod(F.xxhash64("item"), F.lit(shares)))
+    distinct = F.array_distinct(F.transform("ranked", lambda e: e["term"]))
+    wanted = dealt.withColumn("term", F.explode(F.slice(distinct, 1, F.floor(F.size(distinct) / MISSING_ONE_IN).cast("int") + 1)))
+    probes = wanted.select("term", "share", "window")
+    held = index.where("term IS NOT NULL").select("segment", "term")
+    meeting = held.join(probes, "term").select("segment", "share", "window").distinct()
+    names = ["segment", "share", "item", "item_id", "window", "ranked"]
+    candidates = meeting.join(dealt, ["share", "window"]).select(*names).toDF(*names)
+
+    terms = dealt.select(F.explode(distinct).alias("term"), "share").distinct()
+    lists = index.join(stage(terms, "shares"), "term").select("segment", "share", "term", "postings")
+    listed = index.where("term IS NULL").withColumn("share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint"))))
+    lists = lists.unionByName(listed.select("segment", "share", "term", "postings"))
+
+    def look(candidates: pa.Table, rows: pa.Table) -> pa.Table:
+        runs: dict[tuple, list[tuple[int, int]]] = {}
+        near: list[tuple] = []
+        if candidates.num_rows:
+            segment = Segment(rows)
+            done: dict[int, set[int]] = {}
+            for row in candidates.sort_by([("item", "ascending"), ("window", "ascending")]).to_pylist():
+                terms, places = ([e[name] for e in row["ranked"]] for name in ("term", "place"))
+                at = segment.phrase(terms, places)
+                owner = segment.owner(at)
+                for place, low in zip(owner.tolist(), (at - segment.firsts[owner]).tolist()):
+                    own = runs.setdefault((place, row["item"], row["item_id"]), [])
+                    if own and own[-1][0] <= low <= own[-1][1]:
+                        own[-1] = (own[-1][0], max(own[-1][1], low + len(terms)))
+                    else:
+                        own.append((low, low + len(terms)))
+                for place, low, high in segment.near(terms, reach, done.setdefault(row["item"], set())):
+                    first = int(segment.firsts[place])
+                    near.append((segment.number, place, row["item_id"], False, low - first, high - first))
+        flat = [(segment.number, place, item_id, True, *run) for (place, _, item_id), own in runs.items() for run in own]
+        columns = list(zip(*flat, *near)) or [()] * 6
+        kinds = [pa.int64()] * 3 + [pa.bool_()] + [pa.int64()] * 2
+        names = ["segment", "place", "item_id", "exact", "low", "high"]
+        return pa.Table.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names)
+
+    keys = ["segment", "share"]
+    schema = "segment bigint, place bigint, item_id bigint, exact boolean, low bigint, high bigint"
+    return candidates.groupBy(*keys).cogroup(lists.groupBy(*keys)).applyInArrow(look, schema)
 
 
 def indexed_documents(index: DataFrame) -> DataFrame:
@@ -288,28 +312,35 @@ def indexed_documents(index: DataFrame) -> DataFrame:
     return index.where("term IS NULL").mapInArrow(read, schema)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_words, n_hit, n_items, item_ids, contaminated``.
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, reach: int = REACH) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_words, n_hit, n_items, item_ids, n_near_items, near_item_ids, contaminated``.
 
-    A word is hit inside any occurrence of a benchmark window. NULL texts have no words; equal rows
-    are judged one by one; an item without an id hits words but is not listed; an empty benchmark hits nothing.
+    A word is hit inside any occurrence of a benchmark window; ``item_ids`` have such windows. ``near_item_ids``
+    have proximity matches: all but one in five of the distinct words of a window, in any order, within
+    ``reach`` words; they do not make a document contaminated. NULL texts have no words; equal rows are
+    judged one by one; an item without an id hits words but is not listed; an empty benchmark hits nothing.
     """
     index = build_index(docs)
-    places = F.explode(F.sequence(F.col("low"), F.col("high") - 1))
-    found = phrase_matches(index, benchmark, window).select("segment", "place", "item_id", places.alias("word"))
-    hits = found.groupBy("segment", "place").agg(
-        F.count_distinct("word").alias("n_hit"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids")
-    )
+    found = window_matches(index, item_windows(benchmark, window), reach)
+    places = F.explode_outer(F.when(F.col("exact"), F.sequence(F.col("low"), F.col("high") - 1)))
+    ids = {name: F.when(F.expr(kind), F.col("item_id").cast("string")) for name, kind in _KINDS.items()}
+    words = found.select("segment", "place", *(c.alias(name) for name, c in ids.items()), places.alias("word"))
+    sets = [F.sort_array(F.collect_set(name)).alias(name) for name in _KINDS]
+    hits = words.groupBy("segment", "place").agg(F.count_distinct("word").alias("n_hit"), *sets)
     none = F.array().cast("array<string>")
+    listed = {name: F.coalesce(name, none) for name in _KINDS}
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     return (
         indexed_documents(index)
         .join(hits, ["segment", "place"], "left")
         .select(
             "doc_id",
             "n_words",
-            F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
-            F.coalesce(F.size("item_ids"), F.lit(0)).cast("bigint").alias("n_items"),
-            F.coalesce("item_ids", none).alias("item_ids"),
-            (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+            n_hit.alias("n_hit"),
+            F.size(listed["item_ids"]).cast("bigint").alias("n_items"),
+            listed["item_ids"].alias("item_ids"),
+            F.size(listed["near_item_ids"]).cast("bigint").alias("n_near_items"),
+            listed["near_item_ids"].alias("near_item_ids"),
+            (n_hit > 0).alias("contaminated"),
         )
     )

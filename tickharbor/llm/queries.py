@@ -36,8 +36,9 @@ def vocabulary_path() -> str:
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
-    digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
-    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+    digest, near = (F.sha2(F.array_join(name, ","), 256) for name in ("item_ids", "near_item_ids"))
+    own = ["doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated"]
+    return found.select(*own, "n_near_items", near.alias("near_items_sha256"))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
