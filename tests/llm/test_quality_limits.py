@@ -32,3 +32,9 @@ def test_each_limit_rejects_what_the_base_rule_passes(spark):
         assert (over, r.base_failed, r.kept) == ([n], False, False)
     assert found[1].line_chars > LINE_LIMIT * found[1].word_chars
     assert (found[1].base_failed, found[1].kept, found[2].kept) == (False, False, True)
+
+
+def test_symbols_are_counted_and_decide_nothing(spark):
+    text = " ".join(f"w{i:04}#$%" for i in range(40))
+    (row,) = quality_report(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    assert (row.n_symbols, row.base_failed, row.kept) == (120, False, True)

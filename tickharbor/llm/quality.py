@@ -32,8 +32,8 @@ from .text_blocks import (
 
 #: Share of word characters that may lie in repeated windows of so many words.
 NGRAM_LIMITS = {5: 0.30, 6: 0.28, 7: 0.26, 8: 0.25, 9: 0.24, 10: 0.22}
-#: Share of word characters that may lie in lines that occur twice or more, and most symbols a word.
-LINE_LIMIT, SYMBOL_LIMIT = 0.35, 0.3
+#: Share of word characters that may lie in lines that occur twice or more.
+LINE_LIMIT = 0.35
 
 _SYMBOLS = byte_class(b"#*$%&|<>")
 _NOT_NEWLINE = ~byte_class(b"\n")
@@ -85,13 +85,12 @@ def quality_report(
     docs: DataFrame,
     ngram_limits: Mapping[int, float] = NGRAM_LIMITS,
     line_limit: float = LINE_LIMIT,
-    symbol_limit: float = SYMBOL_LIMIT,
 ) -> DataFrame:
     """Measures and verdict of each row of ``docs`` (``doc_id``, ``text``).
 
     ``base_failed``: under 20 words, or over 30 % of the words in repeated 8-word windows. ``kept`` is
-    false if that fails, if the characters in repeated n-grams exceed the limit of any length, if those
-    in repeated lines exceed ``line_limit``, or if there are over ``symbol_limit`` symbols a word.
+    false if that fails, if the characters in repeated n-grams exceed the limit of any length, or if those
+    in repeated lines exceed ``line_limit``. Symbols are counted, but decide nothing: they are no repetition.
     NULL and empty texts have no words, and so are not kept. Each row is judged alone: equal rows, and
     rows without a ``doc_id``, are all returned; other columns are ignored. Windows of a text never
     reach into another one, and a long text is judged whole.
@@ -107,7 +106,6 @@ def quality_report(
                 words, chars = m["n_words"], m["word_chars"]
                 failed = (words < 20) | (100 * m["n_repeat_words"] > 30 * words)
                 bad = failed | (m["line_chars"] > line_limit * chars)
-                bad |= m["n_symbols"] > symbol_limit * words
                 for n in lengths:
                     bad |= m[f"gram_chars_{n}"] > ngram_limits[n] * chars
                 names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_chars"]
