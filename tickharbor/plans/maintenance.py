@@ -73,11 +73,11 @@ def _snapshot(spark: SparkSession, files: DataFrame, root: str, path: str) -> Da
 _SOURCE = ["source_files", "source_bytes", "source_hash"]
 
 
-def _selected(hours: DataFrame | None, specs: Specs | None) -> DataFrame | None:
+def selected_hours(hours: DataFrame | None, specs: Specs | None) -> DataFrame | None:
     return hours if hours is None or specs is None else hours.where(partition_predicate(as_specs(specs)))
 
 
-def _changed_hours(spark: SparkSession, raw: str, compacted: DataFrame | None, specs: Specs | None) -> DataFrame:
+def changed_hours(spark: SparkSession, raw: str, compacted: DataFrame | None, specs: Specs | None) -> DataFrame:
     """``hour_key, compacted_rows`` of the raw hours whose files are not those that were compacted.
 
     Raw is listed, and nothing of either root is opened: the files of a compacted hour are known by number, size
@@ -94,7 +94,7 @@ def _changed_hours(spark: SparkSession, raw: str, compacted: DataFrame | None, s
     return stage(changed.select("hour_key", F.coalesce("rows", F.lit(0)).alias("compacted_rows")), "open-hours")
 
 
-def _read_raw(spark: SparkSession, raw: str, specs: Specs | None, schema: T.StructType) -> DataFrame:
+def read_raw(spark: SparkSession, raw: str, specs: Specs | None, schema: T.StructType) -> DataFrame:
     table = read_ticks(spark, raw, schema) if specs is None else read_partitions(spark, raw, specs, schema)
     return table.withColumn("hour_key", hour_key())
 
@@ -115,10 +115,10 @@ def tick_view(
 
     ``specs`` narrows the view to some partitions, and with it the listing.
     """
-    hours = _selected(compacted_hours(spark, compacted), specs)
+    hours = selected_hours(compacted_hours(spark, compacted), specs)
     # The filter, which all hours pass, lets the join prune directories.
-    open_hours = _changed_hours(spark, raw, hours, specs).where("hour_key >= -1").select("hour_key")
-    still_raw = _read_raw(spark, raw, specs, schema).join(open_hours, "hour_key", "left_semi").drop("hour_key")
+    open_hours = changed_hours(spark, raw, hours, specs).where("hour_key >= -1").select("hour_key")
+    still_raw = read_raw(spark, raw, specs, schema).join(open_hours, "hour_key", "left_semi").drop("hour_key")
     if hours is None:
         return still_raw
     current = hours.withColumn("hour_key", hour_key()).join(open_hours, "hour_key", "left_anti")
@@ -136,9 +136,9 @@ def hours_needing_compaction(
 
     Rows without a time are one more hour, of NULLs, which only the spec ``all`` selects.
     """
-    changed = _changed_hours(spark, raw, _selected(compacted_hours(spark, compacted), specs), specs)
+    changed = changed_hours(spark, raw, selected_hours(compacted_hours(spark, compacted), specs), specs)
     # Only the files of hours that have changed are opened, and of those the footers.
-    rows = _read_raw(spark, raw, specs, schema).join(changed.where("hour_key >= -1"), "hour_key", "left_semi")
+    rows = read_raw(spark, raw, specs, schema).join(changed.where("hour_key >= -1"), "hour_key", "left_semi")
     counted = rows.groupBy("hour_key").agg(F.count(F.lit(1)).alias("raw_rows"))
     key = F.col("hour_key")
     stale = counted.join(changed, "hour_key").where("raw_rows <> compacted_rows")

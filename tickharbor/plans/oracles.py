@@ -301,3 +301,9 @@ ORACLES: dict[str, str] = {
         SELECT ticker, count(*) AS total_records, round(avg(price), 6) AS avg_price,
                min(price) AS min_price, max(price) AS max_price FROM ticks GROUP BY ticker""",
 }
+
+ORACLES |= {
+    f"{name}_rollup": ORACLES[name]
+    for name in ("ticker_summary", "ticker_kpis", "avg_price_by_hour_ticker", "record_count_by_ticker")
+}
+ORACLES["ticker_summary_rollup_late"] = ORACLES["ticker_summary"]

@@ -26,6 +26,7 @@ from ..functions import (
     with_time_partitions,
 )
 from ..functions.partitions import ALL_HOURS, hour_key
+from ..operators import states as from_states
 from ..operators.sinks import gather_partitions
 from ..schema import LAKE_SCHEMA, PARTITION_COLS, TICK_SCHEMA
 from ..scratch import scratch_path
@@ -47,6 +48,7 @@ from ..sources.commits import begin_batch
 from ..streaming.batches import place_batch, write_batch
 from ..streaming.snapshots import read_newest_snapshot
 from .maintenance import compact_and_verify, hours_needing_compaction, tick_view
+from .rollup import lake_states, update_rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -674,6 +676,52 @@ def stale_hours(spark, sf_dir):
     return hours_needing_compaction(spark, raw_lake(spark, sf_dir), _half_compacted(spark, sf_dir))
 
 
+def _rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of all ticks: the first days compacted and rolled up, the others still in raw."""
+    at = (spark.sparkContext.applicationId, f"{sf_dir}#rollup")
+    if at not in _lakes:
+        _lakes[at] = scratch_path(spark, "rolled")
+        ops.compact_partitions(
+            spark, raw_lake(spark, sf_dir), f"{_lakes[at]}/hours", first_days(spark, sf_dir), raise_on_failure=True
+        )
+        update_rollup(spark, f"{_lakes[at]}/hours", f"{_lakes[at]}/states")
+    return lake_states(spark, raw_lake(spark, sf_dir), f"{_lakes[at]}/hours", f"{_lakes[at]}/states")
+
+
+@query
+def ticker_summary_rollup(spark, sf_dir):
+    return from_states.ticker_summary_of(_rolled_up(spark, sf_dir))
+
+
+@query
+def ticker_kpis_rollup(spark, sf_dir):
+    return from_states.ticker_kpis_of(_rolled_up(spark, sf_dir))
+
+
+@query
+def avg_price_by_hour_ticker_rollup(spark, sf_dir):
+    return from_states.avg_price_by_hour_ticker_of(_rolled_up(spark, sf_dir))
+
+
+@query
+def record_count_by_ticker_rollup(spark, sf_dir):
+    return from_states.record_count_by_ticker_of(_rolled_up(spark, sf_dir))
+
+
+@query
+def ticker_summary_rollup_late(spark, sf_dir):
+    """From states, after rows of one ticker arrived late and half the days were compacted, but not rolled up, again."""
+    raw, path, rollup = (scratch_path(spark, name) for name in ("raw", "compacted", "states"))
+    ticks = ticks_of(spark, sf_dir)
+    late = F.coalesce(F.col("ticker") == TICKER, F.lit(False))
+    ops.save_table(ticks.where(~late), raw, PARTITION_COLS, mode="append", spread=SPREAD)
+    ops.compact_partitions(spark, raw, path, ALL_HOURS, raise_on_failure=True)
+    update_rollup(spark, path, rollup)
+    ops.save_table(ticks.where(late), raw, PARTITION_COLS, mode="append", spread=SPREAD)
+    ops.compact_partitions(spark, raw, path, first_days(spark, sf_dir), raise_on_failure=True)
+    return from_states.ticker_summary_of(lake_states(spark, raw, path, rollup))
+
+
 @query
 def saved_summary(spark, sf_dir):
     path = scratch_path(spark, "summary")
