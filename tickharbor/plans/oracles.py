@@ -307,3 +307,14 @@ ORACLES |= {
     for name in ("ticker_summary", "ticker_kpis", "avg_price_by_hour_ticker", "record_count_by_ticker")
 }
 ORACLES["ticker_summary_rollup_late"] = ORACLES["ticker_summary"]
+
+_RARE = f"""WITH users AS (
+    SELECT 'user-' || user_id AS ticker, value AS price, CAST(json_extract_string(props, '$.k') AS INTEGER) AS volume,
+           ts, {_PARTS} FROM events),
+  rarest AS (SELECT ticker FROM users WHERE ticker IS NOT NULL GROUP BY ticker ORDER BY count(*), ticker LIMIT 3)
+  SELECT {_COLUMNS} FROM users WHERE ticker IN (SELECT ticker FROM rarest)"""
+
+ORACLES |= {
+    "rare_ticker_ticks": _RARE,
+    "rare_ticker_ticks_since": f"{_RARE} AND ts >= TIMESTAMP '2024-01-08 06:15:00'",
+}

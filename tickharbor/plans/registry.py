@@ -47,6 +47,8 @@ from ..sources import (
 from ..sources.commits import begin_batch
 from ..streaming.batches import place_batch, write_batch
 from ..streaming.snapshots import read_newest_snapshot
+from .file_index import ticks_of as indexed_ticks
+from .file_index import update_file_index
 from .maintenance import compact_and_verify, hours_needing_compaction, tick_view
 from .rollup import lake_states, update_rollup
 
@@ -58,6 +60,7 @@ QUERIES: dict[str, Query] = {}
 TICKER = "purchase"
 SINCE = dt.datetime(2024, 1, 20, 12, 30)
 SPREAD = 32
+RARE_SINCE = dt.datetime(2024, 1, 8, 6, 15)
 
 
 def query(fn: Query) -> Query:
@@ -722,6 +725,42 @@ def ticker_summary_rollup_late(spark, sf_dir):
     return from_states.ticker_summary_of(lake_states(spark, raw, path, rollup))
 
 
+def _user_lake(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Ticks with users as tickers: the first days compacted, all of these but the last indexed, the others still in raw."""
+    at = (spark.sparkContext.applicationId, f"{sf_dir}#users")
+    if at not in _lakes:
+        _lakes[at] = root = scratch_path(spark, "users")
+        ops.save_table(_user_ticks(spark, sf_dir), f"{root}/raw", PARTITION_COLS, mode="append", spread=1)
+        days = first_days(spark, sf_dir)
+        ops.compact_partitions(spark, f"{root}/raw", f"{root}/compacted", days, raise_on_failure=True)
+        update_file_index(spark, f"{root}/compacted", f"{root}/index")
+        # Another run has other files, which are not indexed yet.
+        ops.compact_partitions(spark, f"{root}/raw", f"{root}/compacted", days[-1:], raise_on_failure=True)
+    return tuple(f"{_lakes[at]}/{name}" for name in ("raw", "compacted", "index"))
+
+
+def _user_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    user = F.concat(F.lit("user-"), F.col("user_id").cast("string"))
+    return events_as_ticks(table(spark, sf_dir, "events").withColumn("event_type", user))
+
+
+def rarest_users(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The three tickers with the fewest rows."""
+    counts = _user_ticks(spark, sf_dir).where("ticker IS NOT NULL").groupBy("ticker").count()
+    return [row.ticker for row in counts.orderBy("count", "ticker").limit(3).collect()]
+
+
+@query
+def rare_ticker_ticks(spark, sf_dir):
+    """All rows of the rarest tickers, from the files that can hold them."""
+    return indexed_ticks(spark, *_user_lake(spark, sf_dir), rarest_users(spark, sf_dir))
+
+
+@query
+def rare_ticker_ticks_since(spark, sf_dir):
+    return indexed_ticks(spark, *_user_lake(spark, sf_dir), rarest_users(spark, sf_dir), since=RARE_SINCE)
+
+
 @query
 def saved_summary(spark, sf_dir):
     path = scratch_path(spark, "summary")

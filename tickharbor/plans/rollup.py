@@ -10,6 +10,7 @@ states; like compacted hours, an update is published whole by creating one small
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,25 +29,29 @@ from .maintenance import changed_hours, read_raw, selected_hours
 MAX_FOLDERS = 32
 
 _RUNS_SCHEMA = f"{RUN_COL} bigint, folder string"
-_STATES_SCHEMA = (
+_STATES = (
     "hour_key bigint, ticker string, n_ticks bigint, n_prices bigint, sum_price double, min_price double, "
-    f"max_price double, {RUN_COL} bigint, folder string"
+    "max_price double"
 )
 _KEYS = ["hour_key", RUN_COL, "folder"]
 
 
-def _rolled_runs(spark: SparkSession, rollup: str) -> DataFrame:
-    """``run, folder`` of the runs whose states are kept, as the newest version has them."""
-    found = newest_version(spark, rollup)
+def rolled_runs(spark: SparkSession, root: str) -> DataFrame:
+    """``run, folder`` of the runs whose rows are kept below ``root``, as the newest version has them."""
+    found = newest_version(spark, root)
     return spark.createDataFrame([], _RUNS_SCHEMA) if found is None else spark.read.schema(_RUNS_SCHEMA).json(found[1])
 
 
-def _kept_states(spark: SparkSession, rollup: str, hours: DataFrame) -> DataFrame:
-    """The states of ``hours`` (``hour_key, run, folder``); only the folders that they name are opened."""
-    folders = [f"{rollup}/{row.folder}" for row in hours.select("folder").distinct().collect()]
+def _kept_schema(columns: str) -> str:
+    return f"{columns}, {_RUNS_SCHEMA}"
+
+
+def kept_rows(spark: SparkSession, root: str, hours: DataFrame, columns: str = _STATES) -> DataFrame:
+    """What is kept of ``hours`` (``hour_key, run, folder``); only the folders that they name are opened."""
+    folders = [f"{root}/{row.folder}" for row in hours.select("folder").distinct().collect()]
     if not folders:
-        return spark.createDataFrame([], _STATES_SCHEMA)
-    return spark.read.schema(_STATES_SCHEMA).parquet(*folders).join(hours.select(*_KEYS), _KEYS, "left_semi")
+        return spark.createDataFrame([], _kept_schema(columns))
+    return spark.read.schema(_kept_schema(columns)).parquet(*folders).join(hours.select(*_KEYS), _KEYS, "left_semi")
 
 
 def _hour_states(ticks: DataFrame) -> DataFrame:
@@ -66,24 +71,38 @@ def update_rollup(
     others is deleted. An update that dies before it is published leaves a folder that nobody reads, and
     of two at a time both count.
     """
+    return update_kept(spark, compacted, rollup, _hour_states, _STATES, ["hour_key", "ticker"], schema, max_folders)
+
+
+def update_kept(
+    spark: SparkSession,
+    compacted: str,
+    root: str,
+    derive: Callable[[DataFrame], DataFrame],
+    columns: str,
+    order: list[str],
+    schema: T.StructType,
+    max_folders: int,
+) -> int:
+    """:func:`update_rollup` for any rows, of ``columns``, that ``derive`` makes of each hour by itself."""
     hours = compacted_hours(spark, compacted)
     if hours is None:
         return 0
     keyed = stage(hours.withColumn("hour_key", hour_key()), "rollup-hours")
-    known = stage(_rolled_runs(spark, rollup), "rolled-runs")
+    known = stage(rolled_runs(spark, root), "rolled-runs")
     todo = keyed.join(known, RUN_COL, "left_anti")
     n_todo = todo.count()
     if not n_todo:
         return 0
     folder = f"states-{uuid.uuid4().hex[:12]}"
-    new = _hour_states(read_hours(spark, compacted, todo, schema)).join(todo.select("hour_key", RUN_COL), "hour_key")
+    new = derive(read_hours(spark, compacted, todo, schema)).join(todo.select("hour_key", RUN_COL), "hour_key")
     runs = todo.select(RUN_COL)
     if known.select("folder").distinct().count() >= max_folders:
-        old = _kept_states(spark, rollup, keyed.join(known, RUN_COL)).drop("folder")
+        old = kept_rows(spark, root, keyed.join(known, RUN_COL), columns).drop("folder")
         new, runs = new.unionByName(old), keyed.select(RUN_COL)
-    states = new.withColumn("folder", F.lit(folder)).selectExpr(*[part.split()[0] for part in _STATES_SCHEMA.split(", ")])
-    states.repartitionByRange("hour_key", "ticker").sortWithinPartitions("hour_key", "ticker").write.parquet(f"{rollup}/{folder}")
-    _publish(spark, rollup, stage(runs.distinct().withColumn("folder", F.lit(folder)), "new-runs"), keyed)
+    rows = new.withColumn("folder", F.lit(folder)).selectExpr(*[part.split()[0] for part in _kept_schema(columns).split(", ")])
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{root}/{folder}")
+    _publish(spark, root, stage(runs.distinct().withColumn("folder", F.lit(folder)), "new-runs"), keyed)
     return n_todo
 
 
@@ -92,7 +111,7 @@ def _publish(spark: SparkSession, rollup: str, runs: DataFrame, current: DataFra
     versions = f"{rollup}/_versions"
     while True:
         found = newest_version(spark, rollup)
-        known = _rolled_runs(spark, rollup).join(runs, RUN_COL, "left_anti")
+        known = rolled_runs(spark, rollup).join(runs, RUN_COL, "left_anti")
         newest = current.agg(F.max(RUN_COL)).first()[0]
         # A run above all that this update has seen was rolled up by a later one.
         alive = known.join(current, RUN_COL, "left_semi").unionByName(known.where(F.col(RUN_COL) > newest))
@@ -104,7 +123,7 @@ def _publish(spark: SparkSession, rollup: str, runs: DataFrame, current: DataFra
         remove_folder(spark, f"{versions}/{table}")
     if found is not None:
         before = spark.read.schema(_RUNS_SCHEMA).json(found[1]).select("folder")
-        for row in before.join(_rolled_runs(spark, rollup), "folder", "left_anti").distinct().collect():
+        for row in before.join(rolled_runs(spark, rollup), "folder", "left_anti").distinct().collect():
             remove_folder(spark, f"{rollup}/{row.folder}")
         remove_folder(spark, found[1])
         remove_folder(spark, f"{versions}/{found[0]:012d}")
@@ -129,9 +148,9 @@ def lake_states(
     states = _hour_states(live.drop("hour_key"))
     if hours is not None:
         current = hours.withColumn("hour_key", hour_key()).join(open_hours, "hour_key", "left_anti")
-        dealt = stage(current.join(_rolled_runs(spark, rollup), RUN_COL, "left"), "rollup-hours")
+        dealt = stage(current.join(rolled_runs(spark, rollup), RUN_COL, "left"), "rollup-hours")
         rolled, others = dealt.where("folder IS NOT NULL"), dealt.where("folder IS NULL")
-        states = states.unionByName(_kept_states(spark, rollup, rolled).select(*states.columns))
+        states = states.unionByName(kept_rows(spark, rollup, rolled).select(*states.columns))
         if not others.isEmpty():
             states = states.unionByName(_hour_states(read_hours(spark, compacted, others, schema)))
     hour = F.when(F.col("hour_key") >= 0, F.pmod("hour_key", F.lit(100))).cast("int").alias("hour")
