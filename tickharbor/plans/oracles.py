@@ -318,3 +318,14 @@ ORACLES |= {
     "rare_ticker_ticks": _RARE,
     "rare_ticker_ticks_since": f"{_RARE} AND ts >= TIMESTAMP '2024-01-08 06:15:00'",
 }
+
+ORACLES |= {
+    # Two runs of two files, so each message counts twice.
+    "observed_ingest": f"""WITH {_DRIFT}
+        SELECT CAST(4 AS BIGINT) AS n_batches, 2 * count(*) AS n_messages, 2 * count(reason) AS n_bad,
+               min(ts) FILTER (reason IS NULL) AS oldest_ts, max(ts) FILTER (reason IS NULL) AS newest_ts,
+               CAST(4 AS BIGINT) AS n_timed
+        FROM drift""",
+    "repeated_messages_stream": f"""WITH {_SENT}
+        SELECT DISTINCT ticker, price, volume, ts, {_PARTS} FROM sent""",
+}

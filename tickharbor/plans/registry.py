@@ -845,6 +845,52 @@ def quarantine_stream(spark, sf_dir):
     return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
+def _inbox(spark: SparkSession, path: str, messages: DataFrame, n_files: int) -> None:
+    """Add messages to a folder of text files, a batch each."""
+    messages.select(F.col("value").cast("string")).repartition(n_files).write.mode("append").text(path)
+
+
+def _ingest_inbox(spark: SparkSession, root: str, **options) -> None:
+    finish(
+        streaming.ingest_ticks(
+            tick_source(spark, "files", path=f"{root}/inbox", max_files_per_trigger=1),
+            f"{root}/raw", f"{root}/quarantine", f"{root}/checkpoints",
+            available_now=True, spread=SPREAD, **options,
+        )
+    )
+
+
+@query
+def observed_ingest(spark, sf_dir):
+    """Damaged messages in several batches and two runs of the stream: totals of what was observed of the batches."""
+    root = scratch_path(spark, "stream")
+    messages = drifting_messages(table(spark, sf_dir, "events"))
+    for _ in range(2):
+        _inbox(spark, f"{root}/inbox", messages, 2)
+        with streaming.recorded_progress(spark, f"{root}/progress"):
+            _ingest_inbox(spark, root)
+    return streaming.read_progress(spark, f"{root}/progress").agg(
+        F.count(F.lit(1)).alias("n_batches"),
+        F.sum("n_messages").alias("n_messages"),
+        F.sum("n_bad").alias("n_bad"),
+        F.min("oldest_ts").alias("oldest_ts"),
+        F.max("newest_ts").alias("newest_ts"),
+        F.count_if(F.expr("seconds > 0 AND lag_seconds > 0")).alias("n_timed"),
+    )
+
+
+@query
+def repeated_messages_stream(spark, sf_dir):
+    """Each message twice in the first run of a stream, in batches of their own, and once more in the second."""
+    root = scratch_path(spark, "stream")
+    messages = events_as_messages(table(spark, sf_dir, "events"))
+    for copies in (2, 1):
+        for _ in range(copies):
+            _inbox(spark, f"{root}/inbox", messages, 1)
+        _ingest_inbox(spark, root, repeats_within="1 day")
+    return read_ticks(spark, f"{root}/raw", LAKE_SCHEMA)
+
+
 @query
 def unpartitioned_stream(spark, sf_dir):
     root = scratch_path(spark, "stream")

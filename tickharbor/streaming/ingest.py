@@ -11,6 +11,8 @@ from ..functions.parsing import judge_messages, split_judged, with_time_partitio
 from ..operators.sinks import gather_partitions
 from ..schema import PARTITION_COLS
 from .batches import start_batches, write_batch
+from .progress import observe_messages
+from .repeats import without_repeats
 
 # Fixed value: the cadence at which new files appear in the raw root.
 TRIGGER = "30 seconds"
@@ -62,15 +64,19 @@ def ingest_ticks(
     trigger: str | None = TRIGGER,
     available_now: bool = False,
     spread: int | None = None,
+    repeats_within: str | None = None,
 ) -> StreamingQuery:
     """Run the whole ingest: good ticks to ``raw`` by hour, bad messages to ``quarantine``.
 
+    ``repeats_within`` drops messages that were delivered before within that time (``repeats``); within
+    ``progress.recorded_progress`` the counts of each batch are kept as a table.
+
     Each batch is read and parsed once and kept, on disk where memory is short, until both sides are
     written; what a lost executor held of it is read again from the source.
     """
 
     def both(rows: DataFrame, batch: str, _: int) -> None:
-        judged = judge_messages(rows, value_col).persist()
+        judged = rows.persist()
         try:
             good, bad = split_judged(judged)
             _append(with_time_partitions(good), raw, batch, PARTITION_COLS, spread)
@@ -78,4 +84,7 @@ def ingest_ticks(
         finally:
             judged.unpersist()
 
-    return start_batches(messages, f"{checkpoints}/ingest", both, trigger, available_now)
+    if repeats_within is not None:
+        messages = without_repeats(messages, repeats_within, [value_col])
+    judged = observe_messages(judge_messages(messages, value_col))
+    return start_batches(judged, f"{checkpoints}/ingest", both, trigger, available_now)
