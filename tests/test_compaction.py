@@ -114,6 +114,19 @@ def test_a_hot_hour_of_identical_rows_is_split_evenly(spark, base):
     assert compacted_rows(spark, compacted) == bag(read_ticks(spark, raw), *COLUMNS)
 
 
+def test_a_compacted_file_is_one_file_on_a_local_disk(spark, base):
+    raw, compacted = f"{base}/raw", f"{base}/compacted"
+    append(ticks(spark, [row for hour in range(4) for row in hour_rows(hour, 40)]), raw)
+    report = compact_partitions(spark, raw, compacted, DAY, max_file_bytes=512).collect()
+    assert report and all(r.status == "compacted" and 1 < r.files_after <= r.files_wanted for r in report)
+    found = [path.name for path in Path(compacted).glob("run=*/**/*") if path.is_file()]
+    assert len(found) == sum(r.files_after for r in report)
+    assert all(name.endswith(".parquet") for name in found)
+    assert compacted_rows(spark, compacted) == bag(read_ticks(spark, raw), *COLUMNS)
+    # Only what a run writes: the options stay with the write, others on the same disk keep their checksum files.
+    assert list(Path(raw).glob("**/.*.crc"))
+
+
 def test_coarse_spec_is_the_union_of_its_hours(spark, roots, base):
     raw, compacted = roots
     compact_partitions(spark, raw, compacted, DAY)

@@ -25,7 +25,7 @@ from ..scratch import stage
 from ..sources.commits import RUN_COL, claim_run, publish_run, run_folder
 from ..sources.lake import load_partitions, path_is_missing, read_partitions
 from ..sources.paths import remove_folder
-from .sinks import PLACED_BY_TASKS
+from .sinks import PLACED_BY_TASKS, WITHOUT_SIDE_FILES
 
 # Raw data that one write task takes before another task is worth its start-up.
 TASK_BYTES = 128 << 20
@@ -291,7 +291,7 @@ def _write(placed: DataFrame, folder: str, tasks: int, schema: T.StructType) ->
         .repartitionById(tasks, F.col("_task"))
         .select(*columns)
         .sortWithinPartitions(*PARTITION_COLS, *order)
-        .write.options(**PLACED_BY_TASKS)
+        .write.options(**PLACED_BY_TASKS, **WITHOUT_SIDE_FILES)
         .partitionBy(*PARTITION_COLS)
         .parquet(folder)
     )

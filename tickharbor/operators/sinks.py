@@ -15,6 +15,14 @@ PLACED_BY_TASKS = {
     "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
 }
 
+# Options of Hadoop's local file system; other file systems do not read them. By default it writes a
+# checksum file beside each file, and without native libraries starts a ``chmod`` process for either: more work than
+# a small Parquet file itself, whose pages have checksums of their own.
+WITHOUT_SIDE_FILES = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+}
+
 
 def gather_partitions(df: DataFrame, partition_cols: Sequence[str], spread: int) -> DataFrame:
     """Bring the rows of a partition into at most ``spread`` tasks before a partitioned write.
