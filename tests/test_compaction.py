@@ -1,12 +1,22 @@
+import os
+from collections import Counter
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
+from tickharbor.functions.parsing import add_partition_columns
 from tickharbor.operators import CompactionError, compact_partitions
+from tickharbor.operators import compaction, small_files
+from tickharbor.operators.compaction import partition_files, run_compaction
 from tickharbor.operators.inventory import CompactionCheckFailed
+from tickharbor.operators.small_files import suits_small_files, write_small_files
 from tickharbor.plans.maintenance import compact_and_verify, hours_needing_compaction, tick_view
-from tickharbor.schema import LAKE_SCHEMA
+from tickharbor.schema import LAKE_SCHEMA, PARTITION_COLS
 from tickharbor.sources import read_ticks
+from tickharbor.sources.paths import local_place
 
 from .helpers import append, bag, data_files, plan, ticks
 
@@ -127,6 +137,118 @@ def test_a_compacted_file_is_one_file_on_a_local_disk(spark, base):
     assert list(Path(raw).glob("**/.*.crc"))
 
 
+def small_hours(spark, hours, rows):
+    """``rows`` ticks of different values in each hour of a day."""
+    n = spark.range(hours * rows, numPartitions=4)
+    made = n.selectExpr(
+        "concat('T', id % 5) AS ticker", "xxhash64(id) / 1e15 AS price", "CAST(id % 1000 AS int) AS volume",
+        f"timestamp_micros(1754784000000000 + (id % {hours}) * 3600000000 + (id * 7919) % 3600000000) AS ts",
+    )
+    return add_partition_columns(made)
+
+
+def test_small_files_cost_no_process_each(spark, base):
+    raw, compacted = f"{base}/raw", f"{base}/compacted"
+    append(small_hours(spark, 24, 600).coalesce(1), raw)
+    jvm = Path(f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}/stat")
+
+    def of_children():
+        """Seconds of processors that ended processes of the JVM took; Python's workers do not end."""
+        return sum(int(ticks) for ticks in jvm.read_text().rpartition(")")[2].split()[13:15]) / os.sysconf("SC_CLK_TCK")
+
+    before = of_children()
+    report = compact_partitions(spark, raw, compacted, DAY, max_file_bytes=512).collect()
+    files = sum(r.files_after for r in report)
+    assert files > 400 and {r.status for r in report} == {"compacted"} and len(report) == 24
+    assert of_children() - before < 0.002 * files
+    assert compacted_rows(spark, compacted) == bag(read_ticks(spark, raw), *COLUMNS)
+
+
+def test_small_files_are_those_that_spark_writes(spark, base, monkeypatch):
+    raw, by_arrow, by_spark = f"{base}/raw", f"{base}/by arrow", f"{base}/by spark"
+    append(small_hours(spark, 3, 200), raw)
+    odd = [("X", float("nan"), None, "1969-12-31 23:59:59.999999"), (None, -0.0, -1, "1900-01-01 00:00:00.000001")]
+    append(ticks(spark, [*odd, ("", None, 7, None), ("\u00e9\n", 1e300, 2**31 - 1, "2025-08-10 09:00:00.5")] * 60), raw)
+    report, other = ["partition", "status", "files_wanted", "files_after", "rows_after"], "year = 2025 AND hour = 0"
+    compact_partitions(spark, raw, by_arrow, "all", max_file_bytes=512)
+    monkeypatch.setattr(compaction, "suits_small_files", lambda *_: False)
+    written = compact_partitions(spark, raw, by_spark, "all", max_file_bytes=512).select(*report)
+    monkeypatch.undo()
+    again = compact_partitions(spark, raw, by_arrow, "all", max_file_bytes=512).select(*report)
+    assert bag(again) == bag(written)
+    tables = [read_ticks(spark, root, LAKE_SCHEMA) for root in (by_arrow, by_spark)]
+    assert bag(tables[0].withColumn("price", F.col("price").cast("string"))) == bag(
+        tables[1].withColumn("price", F.col("price").cast("string"))
+    )
+    spread = [
+        Counter((r.hour, r["count"]) for r in t.where(other).groupBy("hour", "_metadata.file_name").count().collect())
+        for t in tables
+    ]
+    assert spread[0] == spread[1]
+    arrow, spark_s = (pq.ParquetFile(next(Path(root).rglob("hour=1/*.parquet"))) for root in (by_arrow, by_spark))
+    assert arrow.schema.equals(spark_s.schema) and arrow.metadata.created_by != spark_s.metadata.created_by
+    assert {column.compression for column in columns_of(arrow)} == {column.compression for column in columns_of(spark_s)}
+    assert arrow.metadata.metadata == spark_s.metadata.metadata
+    modes = [{path.stat().st_mode for path in Path(root).glob("run=*/**/*")} for root in (by_arrow, by_spark)]
+    assert modes[0] == modes[1]
+
+
+def columns_of(file):
+    return [file.metadata.row_group(0).column(number) for number in range(file.metadata.num_columns)]
+
+
+def test_small_files_are_listed_as_by_a_scan(spark, base):
+    raw, compacted = f"{base}/raw", f"{base}/with space"
+    append(ticks(spark, [*hour_rows(1, 40), *hour_rows(2, 40), ("X", 1.0, 1, None)]), raw)
+    done = run_compaction(spark, raw, compacted, "all", max_file_bytes=512)
+    scan = partition_files(read_ticks(spark, compacted, LAKE_SCHEMA))
+    assert bag(done.after) == bag(scan) and done.after.count() > 3
+    assert done.after.dtypes == scan.dtypes
+
+
+def test_an_attempt_that_runs_again_puts_the_same_small_files(spark, base):
+    folder = f"{base}/run=000000000007"
+    rows = small_hours(spark, 3, 50).repartition(2, "volume").sortWithinPartitions(*PARTITION_COLS)
+    found = []
+    for _ in range(2):
+        write_small_files(rows, folder)
+        found.append(sorted(str(path.relative_to(folder)) for path in Path(folder).rglob("*") if path.is_file()))
+    assert found[0] == found[1] and len(found[0]) == 6
+    assert bag(spark.read.schema(LAKE_SCHEMA).parquet(folder), *COLUMNS) == bag(rows, *COLUMNS)
+
+
+def test_small_files_of_many_rows_are_written_in_groups(spark, base, monkeypatch):
+    monkeypatch.setattr(small_files, "GROUP_BYTES", 4096)
+    folder = f"{base}/run=000000000001"
+    rows = small_hours(spark, 1, 25_000).coalesce(1).sortWithinPartitions(*PARTITION_COLS)
+    write_small_files(rows, folder)
+    (file,) = Path(folder).rglob("*.parquet")
+    assert pq.ParquetFile(file).num_row_groups > 1
+    assert bag(spark.read.schema(LAKE_SCHEMA).parquet(folder), *COLUMNS) == bag(rows, *COLUMNS)
+
+
+def test_small_files_keep_to_local_disks_and_plain_columns(spark, base):
+    assert suits_small_files(spark, base, 512, LAKE_SCHEMA)
+    assert not suits_small_files(spark, base, 1 << 30, LAKE_SCHEMA)
+    assert not suits_small_files(spark, base, 512, StructType([*LAKE_SCHEMA.fields, StructField("n", ArrayType(LongType()))]))
+    assert local_place(spark, "hdfs://127.0.0.1:1/lake") is None
+    spark.conf.set("spark.sql.parquet.compression.codec", "lz4_raw")
+    try:
+        assert not suits_small_files(spark, base, 512, LAKE_SCHEMA)
+    finally:
+        spark.conf.unset("spark.sql.parquet.compression.codec")
+
+
+def test_a_damaged_file_holds_up_its_hour_of_small_files_only(spark, roots):
+    raw, compacted = roots
+    whole = next(Path(raw).rglob("hour=2/*.parquet"))
+    whole.write_bytes(b"PAR1 this is not a Parquet file PAR1")
+    whole.with_name(f".{whole.name}.crc").unlink(missing_ok=True)
+    report = compact_partitions(spark, raw, compacted, DAY, max_file_bytes=512).collect()
+    assert {r.partition[-6:]: r.status for r in report} == {"hour=1": "compacted", "hour=2": "failed"}
+    assert len(list(Path(compacted).glob("run=*"))) == 1 and not list(Path(compacted).rglob("_temporary"))
+
+
 def test_coarse_spec_is_the_union_of_its_hours(spark, roots, base):
     raw, compacted = roots
     compact_partitions(spark, raw, compacted, DAY)

@@ -26,6 +26,7 @@ from ..sources.commits import RUN_COL, claim_run, publish_run, run_folder
 from ..sources.lake import load_partitions, path_is_missing, read_partitions
 from ..sources.paths import remove_folder
 from .sinks import PLACED_BY_TASKS, WITHOUT_SIDE_FILES
+from .small_files import small_files, suits_small_files, write_small_files
 
 # Raw data that one write task takes before another task is worth its start-up.
 TASK_BYTES = 128 << 20
@@ -241,10 +242,15 @@ def _compact(
             placed = placed.withColumn("_hour", hour_key()).join(hot, "_hour")
         run = claim_run(spark, compacted)
         folder = run_folder(compacted, run)
+        small = suits_small_files(spark, folder, max_file_bytes, schema)
         try:
-            _write(placed, folder, tasks, schema)
-            written = spark.read.schema(schema).option("basePath", compacted).parquet(folder).drop(RUN_COL)
-            after = stage(partition_files(written), "compaction-after")
+            _write(placed, folder, tasks, schema, small)
+            if small:
+                written = small_files(sized, folder, total.files)
+            else:
+                table = spark.read.schema(schema).option("basePath", compacted).parquet(folder)
+                written = partition_files(table.drop(RUN_COL))
+            after = stage(written, "compaction-after")
             publish_run(spark, compacted, stage(_new_hours(run, before, after), "compacted-hours"), keep_versions)
         except BaseException:
             remove_folder(spark, folder)
@@ -273,7 +279,7 @@ def _new_hours(run: int, before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def _write(placed: DataFrame, folder: str, tasks: int, schema: T.StructType) -> None:
+def _write(placed: DataFrame, folder: str, tasks: int, schema: T.StructType, small: bool) -> None:
     """Spread each hour over ``_files`` tasks by row position.
 
     An hour starts at a hashed task and takes the ``_files`` tasks from there, which are distinct
@@ -286,15 +292,16 @@ def _write(placed: DataFrame, folder: str, tasks: int, schema: T.StructType) ->
     task = F.pmod(F.pmod(F.xxhash64(*PARTITION_COLS), F.lit(tasks)) + slot, F.lit(tasks)).cast("int")
     columns = schema.fieldNames()
     order = [name for name in ("ticker", "ts") if name in columns]
-    (
+    rows = (
         placed.select(*columns, task.alias("_task"))
         .repartitionById(tasks, F.col("_task"))
         .select(*columns)
         .sortWithinPartitions(*PARTITION_COLS, *order)
-        .write.options(**PLACED_BY_TASKS, **WITHOUT_SIDE_FILES)
-        .partitionBy(*PARTITION_COLS)
-        .parquet(folder)
     )
+    if small:
+        write_small_files(rows, folder)
+    else:
+        rows.write.options(**PLACED_BY_TASKS, **WITHOUT_SIDE_FILES).partitionBy(*PARTITION_COLS).parquet(folder)
 
 
 def _partition_label() -> Column:

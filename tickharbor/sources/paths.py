@@ -16,6 +16,29 @@ def _failed_with(error: Py4JJavaError, *names: str) -> bool:
     return error.java_exception.getClass().getSimpleName() in names
 
 
+def local_place(spark: SparkSession, folder: str) -> tuple[str, str] | None:
+    """URI, as Spark has it in file paths, and path of a folder on a local disk; None on other file systems."""
+    path, files = _at(spark, folder)
+    if files.getUri().getScheme() != "file":
+        return None
+    uri = _at(spark, files.makeQualified(path).toString())[0].toUri()
+    return uri.toString(), uri.getPath()
+
+
+def hadoop_setting(spark: SparkSession, name: str) -> str | None:
+    return spark._jsc.hadoopConfiguration().get(name)
+
+
+def umask(spark: SparkSession) -> int:
+    """The permissions that Hadoop's file systems withhold from new files and folders."""
+    return spark._jvm.org.apache.hadoop.fs.permission.FsPermission.getUMask(spark._jsc.hadoopConfiguration()).toShort()
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path, files = _at(spark, folder)
+    files.mkdirs(path)
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """The paths that fit a glob pattern; none if nothing does."""
     path, files = _at(spark, pattern)
